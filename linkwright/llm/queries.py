@@ -1,9 +1,10 @@
 """The corpus operators' queries, and their SQL where SQL can express them."""
 
-from . import bpe, chat, decontaminate, lines, media, quality, secrets, simhash
+from . import bpe, chat, decontaminate, lines, media, quality, secrets, simhash, suffix
 
 QUERIES = {
     "op1_chat": chat.op1_chat,
+    "op2_suffix": suffix.op2_suffix,
     "op3_secrets": secrets.op3_secrets,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_media": media.op5_media,
