@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, prepare, slabs
 
-SCHEMA = "chunk bigint, ids array<bigint>, size bigint, text binary, bounds binary"
+SCHEMA = "chunk bigint, ids array<bigint>, size bigint, words bigint, text binary, bounds binary"
 #: Bytes of corpus text for which one bucket of an exchange stands.
 BUCKET_BYTES = 48 << 20
 
@@ -31,14 +31,30 @@ def chunked(docs: DataFrame) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=3)
         for batch, data, offsets in slabs(batches):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([at]), pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([len(data)]), pa.array([pack.compress(data.tobytes())], pa.binary()), pa.array([offsets.tobytes()], pa.binary())],
-                names=["chunk", "ids", "size", "text", "bounds"],
+                [pa.array([at]), pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([len(data)]), pa.array([len(word_bounds(data, offsets)[0])]), pa.array([pack.compress(data.tobytes())], pa.binary()), pa.array([offsets.tobytes()], pa.binary())],
+                names=["chunk", "ids", "size", "words", "text", "bounds"],
             )
             at += 1
 
     return cut(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("body")).mapInArrow(run, SCHEMA))
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
+
+
+def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of runs without ASCII white space; runs do not cross rows."""
+    gap = np.ones(len(data) + 2, bool)
+    gap[1:-1] = _SPACE[data]
+    first, last = ~gap[1:-1] & gap[:-2], ~gap[1:-1] & gap[2:]
+    inner = offsets[1:-1]
+    inner = inner[(inner > 0) & (inner < len(data))]
+    first[inner] = ~gap[1:-1][inner]
+    last[inner - 1] = ~gap[1:-1][inner - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
 def unpack(text: bytes, bounds: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(text), np.uint8), np.frombuffer(bounds, np.int64)
 
@@ -49,6 +65,32 @@ def bucket_bits(chunks: DataFrame, per_bucket: int = BUCKET_BYTES) -> int:
     return max(3, int(total // per_bucket).bit_length())
 
 
+def by_bucket(hashes: np.ndarray, bits: int):
+    """(bucket, from, to) for sorted ``hashes``."""
+    names = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    cuts = np.flatnonzero(np.r_[True, names[1:] != names[:-1]]) if len(names) else np.zeros(0, np.int64)
+    return zip(names[cuts].tolist(), cuts.tolist(), np.r_[cuts[1:], len(names)].tolist())
+
+
+def meet(chunks: DataFrame, answers: DataFrame, run, schema: str) -> DataFrame:
+    """``run`` (chunk's table) over each chunk's text and the answers for it. ``answers``: chunk,
+    bucket, n, p, q."""
+    null = lambda kind: F.lit(None).cast(kind)
+    left = chunks.select("chunk", F.lit(-1).cast("bigint").alias("bucket"), F.lit(0).cast("bigint").alias("n"), "ids", F.col("text").alias("p"), F.col("bounds").alias("q"))
+    right = answers.select("chunk", "bucket", "n", null("array<bigint>").alias("ids"), "p", "q" if "q" in answers.columns else null("binary").alias("q"))
+    return left.unionByName(right).groupBy("chunk").applyInArrow(run, schema)
+
+
+def split_chunk(t: pa.Table):
+    """ids, bytes and offsets of the chunk, and the order of its answers by bucket."""
+    bucket = t["bucket"].to_pylist()
+    own = bucket.index(-1)
+    order = sorted((i for i in range(len(bucket)) if i != own), key=lambda i: bucket[i])
+    ids = t["ids"][own].as_py()
+    data, offsets = unpack(t["p"][own].as_py(), t["q"][own].as_py())
+    return ids, data, offsets, order
+
+
 def frombytes(column, kind) -> list[np.ndarray]:
     return [np.frombuffer(x, kind) for x in column.to_pylist()]
 

@@ -31,9 +31,8 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .chunks import bucket_bits, chunked, frombytes, ranges, unpack
+from .chunks import bucket_bits, by_bucket, chunked, frombytes, meet, ranges, split_chunk, unpack
 from .common import mix, rolling, span_hashes, table
 
 SIZE = 50
@@ -190,13 +189,6 @@ def anchored_runs(data: np.ndarray, offsets: np.ndarray, size: int = SIZE, k: in
     return begin, count, h[place], np.searchsorted(offsets, begin, side="right") - 1
 
 
-def _by_bucket(hashes: np.ndarray, bits: int):
-    """(bucket, from, to) for sorted ``hashes``."""
-    names = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-    cuts = np.flatnonzero(np.r_[True, names[1:] != names[:-1]]) if len(names) else np.zeros(0, np.int64)
-    return zip(names[cuts].tolist(), cuts.tolist(), np.r_[cuts[1:], len(names)].tolist())
-
-
 def _order_ids(ids) -> np.ndarray:
     return np.array([_NULL if i is None else i for i in ids], np.int64)
 
@@ -213,7 +205,7 @@ def _send_anchors(chunks: DataFrame, bits: int, size: int) -> DataFrame:
                 many = np.minimum.reduceat(d, cuts) != np.maximum.reduceat(d, cuts) if len(cuts) else np.zeros(0, bool)
                 u = a[cuts]
                 short = ((u << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
-                rows = [(b, chunk, short[x:y].tobytes(), np.packbits(many[x:y]).tobytes()) for b, x, y in _by_bucket(u, bits)]
+                rows = [(b, chunk, short[x:y].tobytes(), np.packbits(many[x:y]).tobytes()) for b, x, y in by_bucket(u, bits)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "chunk", "p", "q"])
 
@@ -239,25 +231,6 @@ def _repeated(t: pa.Table) -> pa.Table:
     return pa.table({"chunk": t["chunk"], "bucket": t["bucket"], "n": pa.array(sizes, pa.int64()), "p": pa.array(out, pa.binary())})
 
 
-def _meet(chunks: DataFrame, answers: DataFrame, run, schema: str) -> DataFrame:
-    """``run`` (chunk's table) over each chunk's text and the answers for it. ``answers``: chunk,
-    bucket, n, p, q."""
-    null = lambda kind: F.lit(None).cast(kind)
-    left = chunks.select("chunk", F.lit(-1).cast("bigint").alias("bucket"), F.lit(0).cast("bigint").alias("n"), "ids", F.col("text").alias("p"), F.col("bounds").alias("q"))
-    right = answers.select("chunk", "bucket", "n", null("array<bigint>").alias("ids"), "p", "q" if "q" in answers.columns else null("binary").alias("q"))
-    return left.unionByName(right).groupBy("chunk").applyInArrow(run, schema)
-
-
-def _split(t: pa.Table):
-    """The chunk's own row and its answers by bucket."""
-    bucket = t["bucket"].to_pylist()
-    own = bucket.index(-1)
-    order = sorted((i for i in range(len(bucket)) if i != own), key=lambda i: bucket[i])
-    ids = t["ids"][own].as_py()
-    data, offsets = unpack(t["p"][own].as_py(), t["q"][own].as_py())
-    return ids, data, offsets, order
-
-
 _RUNS = "bucket bigint, chunk bigint, n bigint, contents binary, counts binary, anchors binary, docs binary, pos binary, cls binary, least binary"
 
 
@@ -266,7 +239,7 @@ def _send_runs(chunks: DataFrame, flags: DataFrame, bits: int, size: int) -> Dat
     names = [c.split()[0] for c in _RUNS.split(", ")]
 
     def run(t: pa.Table) -> pa.Table:
-        ids, data, offsets, order = _split(t)
+        ids, data, offsets, order = split_chunk(t)
         n, p = t["n"].to_pylist(), t["p"]
         flag = np.concatenate([np.zeros(0, bool), *(np.unpackbits(np.frombuffer(p[i].as_py(), np.uint8), count=n[i]).astype(bool) for i in order)])
         begin, count, anchor, row = anchored_runs(data, offsets, size)
@@ -283,14 +256,14 @@ def _send_runs(chunks: DataFrame, flags: DataFrame, bits: int, size: int) -> Dat
         pack = zstandard.ZstdCompressor(level=3)
         rows = []
         ends = np.r_[first[1:], len(a)]
-        for b, x, y in _by_bucket(a[first], bits):
+        for b, x, y in by_bucket(a[first], bits):
             f = by[first[x:y]]
             i, j = first[x], ends[y - 1]
             text = data[ranges(begin[f], count[f] + size - 1)]
             rows.append((b, int(t["chunk"][0].as_py()), y - x, pack.compress(text.tobytes()), count[f].astype(np.uint8).tobytes(), anchor[f].tobytes(), docs[f].tobytes(), begin[by[i:j]].astype(np.uint32).tobytes(), (cls[i:j] - x).astype(np.uint32).tobytes(), np.packbits(least[i:j]).tobytes()))
         return pa.table([pa.array([r[k] for r in rows], kinds[k]) for k in range(len(kinds))], names=names)
 
-    return _meet(chunks, flags, run, _RUNS)
+    return meet(chunks, flags, run, _RUNS)
 
 
 def _judge(t: pa.Table, size: int) -> pa.Table:
@@ -351,7 +324,7 @@ _FOUND = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept
 
 def _cut_out(size: int, text: bool):
     def run(t: pa.Table) -> pa.Table:
-        ids, data, offsets, order = _split(t)
+        ids, data, offsets, order = split_chunk(t)
         gone = np.zeros(len(data) + 1, np.int32)
         for i in order:
             pos, mask = np.frombuffer(t["p"][i].as_py(), np.uint32).astype(np.int64), np.frombuffer(t["q"][i].as_py(), np.uint32)
@@ -389,7 +362,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, text: bool = True) -> Data
     flags = _send_anchors(chunks, bits, size).groupBy("bucket").applyInArrow(_repeated, "chunk bigint, bucket bigint, n bigint, p binary")
     runs = _send_runs(chunks, flags, bits, size)
     judged = runs.groupBy("bucket").applyInArrow(lambda t: _judge(t, size), "chunk bigint, bucket bigint, n bigint, p binary, q binary")
-    return _meet(chunks, judged, _cut_out(size, text), _FOUND)
+    return meet(chunks, judged, _cut_out(size, text), _FOUND)
 
 
 def op2_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
