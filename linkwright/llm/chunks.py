@@ -19,7 +19,7 @@ from .common import cut, prepare, slabs
 
 SCHEMA = "chunk bigint, ids array<bigint>, size bigint, words bigint, text binary, bounds binary"
 #: Bytes of corpus text for which one bucket of an exchange stands.
-BUCKET_BYTES = 48 << 20
+BUCKET_BYTES = 12 << 20
 
 
 def chunked(docs: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def chunked(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         at = TaskContext.get().partitionId() << 33
-        pack = zstandard.ZstdCompressor(level=3)
+        pack = zstandard.ZstdCompressor(level=6)
         for batch, data, offsets in slabs(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([at]), pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([len(data)]), pa.array([len(word_bounds(data, offsets)[0])]), pa.array([pack.compress(data.tobytes())], pa.binary()), pa.array([offsets.tobytes()], pa.binary())],

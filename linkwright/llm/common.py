@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -50,6 +51,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shielded(docs: DataFrame) -> DataFrame:
+    """``docs`` with all columns but doc_id, text and n_chars renamed by place, so that an operator that
+    keeps every column can add its own under any name; ``toDF(*docs.columns)`` names them back."""
+    return docs.toDF(*[c if c in ("doc_id", "text", "n_chars") else f"_kept{i}" for i, c in enumerate(docs.columns)])
+
+
 def slabs(batches: Iterator[pa.RecordBatch], column: str = "body", limit: int = SLAB_BYTES):
     """(batch slice, bytes, offsets) for runs of rows whose binary ``column`` has at most
     ``limit`` bytes together; null is empty. A row over the limit comes alone."""
@@ -71,8 +78,12 @@ def slabs(batches: Iterator[pa.RecordBatch], column: str = "body", limit: int =
             i = j
 
 
-def longs(batch: pa.RecordBatch, name: str) -> list:
-    return batch.column(batch.schema.get_field_index(name)).to_pylist()
+def release() -> None:
+    """Give freed memory back to the system: a worker's next task starts small."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def powers(base: int, n: int) -> np.ndarray:

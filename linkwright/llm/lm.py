@@ -24,11 +24,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chunks import bucket_bits, by_bucket, chunked, frombytes, meet, split_chunk, unpack, word_bounds
-from .common import mix, span_hashes, table
+from .chunks import bucket_bits, by_bucket, chunked, meet, split_chunk, unpack, word_bounds
+from .common import mix, release, span_hashes, table
 
 ORDER = 2
 BACKOFF = 0.4
@@ -63,13 +64,15 @@ def _distinct(hashes: list[np.ndarray]):
 
 def _send(chunks: DataFrame, bits: int, order: int) -> DataFrame:
     def run(batches):
+        pack = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for chunk, text, bounds in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("chunk", "text", "bounds"))):
+            for i in range(batch.num_rows):  # one by one: a chunk is large
+                chunk, text, bounds = (batch.column(batch.schema.get_field_index(c))[i].as_py() for c in ("chunk", "text", "bounds"))
                 hashes, _, _ = grams(*unpack(text, bounds), order)
                 u, _, count = _distinct(hashes)
                 rest = (u << np.uint64(bits)) >> np.uint64(16)
                 high, low = (rest >> np.uint64(16)).astype(np.uint32), rest.astype(np.uint16)
-                rows = [(b, chunk, y - x, high[x:y].tobytes() + low[x:y].tobytes(), count[x:y].astype(np.uint32).tobytes()) for b, x, y in by_bucket(u, bits)]
+                rows = [(b, chunk, y - x, high[x:y].tobytes() + low[x:y].tobytes(), pack.compress(count[x:y].astype(np.uint32).tobytes())) for b, x, y in by_bucket(u, bits)]
                 if rows:
                     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=["bucket", "chunk", "n", "p", "q"])
@@ -81,7 +84,8 @@ def _sum(t: pa.Table) -> pa.Table:
     """In a bucket: how often each chunk's n-grams occur in other chunks."""
     sizes = t["n"].to_pylist()
     keys = np.concatenate([(np.frombuffer(p, np.uint32, n).astype(np.uint64) << np.uint64(16)) | np.frombuffer(p, np.uint16, n, 4 * n) for p, n in zip(t["p"].to_pylist(), sizes)])
-    count = np.concatenate(frombytes(t["q"], np.uint32)).astype(np.int64)
+    pack, unzip = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+    count = np.concatenate([np.frombuffer(unzip.decompress(x), np.uint32) for x in t["q"].to_pylist()]).astype(np.int64)
     by = np.argsort(keys, kind="stable")
     s = keys[by]
     head = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
@@ -89,7 +93,7 @@ def _sum(t: pa.Table) -> pa.Table:
     others = np.empty(len(keys), np.int64)
     others[by] = np.repeat(total, np.diff(np.r_[head, len(by)])) - count[by]
     cuts = np.r_[0, np.cumsum(sizes)]
-    return pa.table({"chunk": t["chunk"], "bucket": t["bucket"], "n": t["n"], "p": pa.array([others[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())})
+    return pa.table({"chunk": t["chunk"], "bucket": t["bucket"], "n": t["n"], "p": pa.array([pack.compress(others[a:b].astype(np.uint32).tobytes()) for a, b in zip(cuts, cuts[1:])], pa.binary())})
 
 
 def _score(order: int, total: int):
@@ -98,10 +102,11 @@ def _score(order: int, total: int):
         hashes, row, place = grams(data, offsets, order)
         n_rows = len(offsets) - 1
         words = np.bincount(row, minlength=n_rows)
+        unzip = zstandard.ZstdDecompressor()
         sums = np.zeros(n_rows)
         if len(row):
             u, index, count = _distinct(hashes)
-            corpus = count + np.concatenate([np.frombuffer(t["p"][i].as_py(), np.uint32) for i in by]).astype(np.int64)
+            corpus = count + np.concatenate([np.frombuffer(unzip.decompress(t["p"][i].as_py()), np.uint32) for i in by]).astype(np.int64)
             left = []  # for each n, the count in other documents of the n-gram that ends at each word
             for k in index:
                 pair = row.astype(np.int64) * len(u) + k
@@ -116,6 +121,7 @@ def _score(order: int, total: int):
                 seen = (place >= n - 1) & (left[n - 1] > 0)
                 value = np.where(seen, BACKOFF ** (here - float(n)) * left[n - 1] / np.maximum(before, 1), value)
             sums = np.bincount(row, np.log10(value), minlength=n_rows)
+        release()
         mean = np.round(sums / np.maximum(words, 1), 6)
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(words, pa.int64()), "score": np.round(sums, 6), "mean_score": mean})
 
