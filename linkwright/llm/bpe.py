@@ -20,6 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import prepare, slabs, table
 
@@ -199,7 +200,8 @@ def decode(df: DataFrame, ranks: bytes, tokens: str = "tokens", out: str = "deco
     if literal is not None:
         return df.withColumn(out, F.aggregate(tokens, F.lit(b""), lambda a, t: F.concat(a, F.element_at(literal, t + 1))))
     shared = df.sparkSession.sparkContext.broadcast(pieces)
-    schema = df.schema.add(out, "binary")
+    df = df.drop(out)
+    schema = StructType([*df.schema.fields, StructField(out, BinaryType())])
     columns = df.columns
 
     def run(batches):

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, prepare, slabs, span_hashes, table
+from .common import cut, prepare, shielded, slabs, span_hashes, table
 
 WINDOW = 10
 #: Bytes of benchmark text in one broadcast block.
@@ -187,6 +187,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
     spark = docs.sparkSession
     prepare(spark)
     blocks = benchmark_blocks(benchmark.select("item_id", "text"), block_bytes)
+    names, docs = docs.columns, shielded(docs)
     for block in blocks:
         items = [(str(r["item_id"]), bytes(r["body"])) for r in block.where("text is not null").select("item_id", F.col("text").cast("binary").alias("body")).collect()]
         shared = spark.sparkContext.broadcast(_index(items))
@@ -225,7 +226,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
         docs = docs.withColumn("_body", F.col("text").cast("binary")).mapInArrow(scan, schema)
         if len(blocks) > 1:
             docs = cut(docs)
-    return docs
+    return docs.toDF(*names)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

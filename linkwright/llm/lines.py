@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, salted_join, table
+from .common import salted_join, shielded, table
 
 WINDOW = 3
 
@@ -86,13 +86,14 @@ def report(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` without later windows' lines; a document of which nothing but blanks is left goes.
     Columns stay (n_chars, if there, is set anew); documents without repeats are unchanged."""
-    columns = docs.columns
-    got = with_spans(docs)
+    inner = shielded(docs)
+    columns = inner.columns
+    got = with_spans(inner)
     changed = F.size("_spans") > 0
     got = got.withColumn("text", F.when(changed, F.array_join(_kept(), "\n")).otherwise(F.col("text"))).where(~changed | (F.length(F.trim("text")) > 0))
     if "n_chars" in columns:
         got = got.withColumn("n_chars", F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
-    return got.select(columns)
+    return got.select(columns).toDF(*docs.columns)
 
 
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import prepare, slabs, table
 
@@ -138,17 +139,19 @@ def to_pcm_wav(media: bytes) -> bytes:
 
 
 def add_media(docs: DataFrame, text: str = "text", media: str = "media") -> DataFrame:
-    """``docs`` with a binary column ``media`` of mu-law WAV files."""
+    """``docs`` with a binary column ``media`` (in place of any of that name) of mu-law WAV files."""
     prepare(docs.sparkSession)
-    columns, schema = docs.columns, docs.schema.add(media, "binary")
+    docs = docs.drop(media)
+    columns, schema = docs.columns, StructType([*docs.schema.fields, StructField(media, BinaryType())])
+    body = "_" * (1 + max(map(len, columns))) + "body"  # longer than any column's name
 
     def run(batches):
-        for batch, data, offsets in slabs(batches, "_body"):
+        for batch, data, offsets in slabs(batches, body):
             raw = data.tobytes()
             files = [encode(raw[a:b]) for a, b in zip(offsets, offsets[1:])]
             yield pa.RecordBatch.from_arrays([*batch.select(columns).columns, pa.array(files, pa.binary())], names=[*columns, media])
 
-    return docs.withColumn("_body", F.col(text).cast("binary")).mapInArrow(run, schema)
+    return docs.withColumn(body, F.col(text).cast("binary")).mapInArrow(run, schema)
 
 
 def _power(pcm: np.ndarray, bounds: np.ndarray) -> np.ndarray:

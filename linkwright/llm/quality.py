@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, prepare, slabs, span_hashes, table
+from .common import mix, prepare, shielded, slabs, span_hashes, table
 
 FIT_ROWS = 12_000
 PAIRS_EACH = 8
@@ -178,13 +178,14 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 def keep_good(docs: DataFrame, model: dict, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose score is at least ``threshold``, unchanged."""
     prepare(docs.sparkSession)
-    columns = docs.columns
+    inner = shielded(docs)
+    columns = inner.columns
 
     def run(batches):
         for batch, data, offsets in slabs(batches, "_body"):
             yield batch.select(columns).filter(pa.array(apply(model, features(data, offsets)) >= threshold))
 
-    return docs.withColumn("_body", F.col("text").cast("binary")).mapInArrow(run, docs.schema)
+    return inner.withColumn("_body", F.col("text").cast("binary")).mapInArrow(run, inner.schema).toDF(*docs.columns)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

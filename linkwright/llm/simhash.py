@@ -116,11 +116,12 @@ def links(nodes: DataFrame, distance: int = DISTANCE, pair_limit: int = PAIR_LIM
     pairs = few.alias("a").join(few.alias("b"), [F.col("a.k") == F.col("b.k"), F.col("a.v") == F.col("b.v"), F.col("a.fp") < F.col("b.fp"), close]).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
     many = shared.where(F.col("n") > pair_limit).select("node", "fp").distinct()
     one_bit = [F.col("fp").bitwiseXOR(F.lit((1 << i) - ((1 << 64) if i == 63 else 0))) for i in range(64)]
-    around = F.array(F.col("fp"), *(one_bit if distance == 2 else []))
-    if distance == 1:  # the lower of two that differ in one bit is the other with that bit cleared
-        around = F.array(F.col("fp"), *[F.col("fp").bitwiseAND(F.lit(~(1 << i) if i < 63 else (1 << 63) - 1)) for i in range(64)])
-    touched = many.select("node", F.explode(around if distance else F.array("fp")).alias("at"))
-    hubs = touched.groupBy("at").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("at", "hub")
+    around = F.array(F.col("fp"), *(one_bit if distance else []))
+    touched = many.select("node", F.explode(around).alias("at"))
+    if distance == 2:
+        hubs = touched.groupBy("at").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("at", "hub")
+    else:  # one bit apart: the neighbour is itself a fingerprint
+        hubs = many.select(F.col("fp").alias("at"), F.col("node").alias("hub"))
     stars = salted_join(touched, hubs, "at").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     return pairs.unionByName(stars).distinct()
 
