@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
 from .chunks import bucket_bits, by_bucket, chunked, frombytes, meet, ranges, split_chunk, unpack
-from .common import mix, rolling, span_hashes, table
+from .common import mix, release, rolling, span_hashes, table
 
 SIZE = 50
 ANCHOR = 24
@@ -45,11 +45,17 @@ _NULL = np.iinfo(np.int64).min
 
 def letters(text: np.ndarray, pad: int) -> np.ndarray:
     """For each position the 8 bytes from there on as one number; zeros follow the text."""
-    t = np.zeros(len(text) + pad + 8, np.uint64)
+    n = len(text) + pad
+    t = np.zeros(n + 8, np.uint8)
     t[: len(text)] = text
-    two = (t[:-1] << np.uint64(8)) | t[1:]
-    four = (two[:-2] << np.uint64(16)) | two[2:]
-    return (four[:-4] << np.uint64(32)) | four[4:]
+    w = np.empty(n, np.uint64)
+    for a in range(0, n, 1 << 20):  # in pieces, so that no more than the result is large
+        b = min(n, a + (1 << 20))
+        piece = t[a : b + 7].astype(np.uint64)
+        two = (piece[:-1] << np.uint64(8)) | piece[1:]
+        four = (two[:-2] << np.uint64(16)) | two[2:]
+        w[a:b] = (four[:-4] << np.uint64(32)) | four[4:]
+    return w
 
 
 def _name(at: np.ndarray, parts: list[np.ndarray], names: np.ndarray) -> int:
@@ -146,8 +152,19 @@ def equal_groups(text: np.ndarray, order: np.ndarray, size: int) -> np.ndarray:
 # --- distribution -------------------------------------------------------------------------------
 
 
-def anchored_runs(data: np.ndarray, offsets: np.ndarray, size: int = SIZE, k: int = ANCHOR):
-    """Runs of consecutive string starts with one anchor: first start, count, anchor hash, row."""
+def anchored_runs(data: np.ndarray, offsets: np.ndarray, size: int = SIZE, k: int = ANCHOR, piece: int = 1 << 18):
+    """Runs of consecutive string starts with one anchor: first start, count, anchor hash, row.
+    Rows are taken ``piece`` bytes at a time, as the arrays on the way are many times as large."""
+    parts, i, last = [], 0, len(offsets) - 1
+    while i < last:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + piece, side="right")) - 1)
+        begin, count, anchor, row = _anchored_runs(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size, k)
+        parts.append((begin + offsets[i], count, anchor, row + i))
+        i = j
+    return tuple(np.concatenate(x) for x in zip(*parts)) if parts else _anchored_runs(data, offsets, size, k)
+
+
+def _anchored_runs(data: np.ndarray, offsets: np.ndarray, size: int, k: int):
     none = np.zeros(0, np.int64)
     width = size - k + 1
     lengths = np.diff(offsets)
@@ -186,7 +203,8 @@ def anchored_runs(data: np.ndarray, offsets: np.ndarray, size: int = SIZE, k: in
         begin, count, place = np.r_[begin[~tied], b2], np.r_[count[~tied], c2], np.r_[place[~tied], own[fresh]]
         order = np.argsort(begin, kind="stable")
         begin, count, place = begin[order], count[order], place[order]
-    return begin, count, h[place], np.searchsorted(offsets, begin, side="right") - 1
+    # mixed anew: least hashes are small ones, and buckets go by the leading bits
+    return begin, count, mix(h[place] ^ np.uint64(0x5851F42D4C957F2D)), np.searchsorted(offsets, begin, side="right") - 1
 
 
 def _order_ids(ids) -> np.ndarray:
@@ -196,7 +214,8 @@ def _order_ids(ids) -> np.ndarray:
 def _send_anchors(chunks: DataFrame, bits: int, size: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            for chunk, ids, text, bounds in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("chunk", "ids", "text", "bounds"))):
+            for i in range(batch.num_rows):  # one by one: a chunk is large
+                chunk, ids, text, bounds = (batch.column(batch.schema.get_field_index(c))[i].as_py() for c in ("chunk", "ids", "text", "bounds"))
                 data, offsets = unpack(text, bounds)
                 _, _, anchor, row = anchored_runs(data, offsets, size)
                 order = np.argsort(anchor, kind="stable")
@@ -260,7 +279,10 @@ def _send_runs(chunks: DataFrame, flags: DataFrame, bits: int, size: int) -> Dat
             f = by[first[x:y]]
             i, j = first[x], ends[y - 1]
             text = data[ranges(begin[f], count[f] + size - 1)]
-            rows.append((b, int(t["chunk"][0].as_py()), y - x, pack.compress(text.tobytes()), count[f].astype(np.uint8).tobytes(), anchor[f].tobytes(), docs[f].tobytes(), begin[by[i:j]].astype(np.uint32).tobytes(), (cls[i:j] - x).astype(np.uint32).tobytes(), np.packbits(least[i:j]).tobytes()))
+            step = np.r_[False, cls[i + 1 : j] != cls[i : j - 1]]  # classes are numbered in order
+            short = ((anchor[f] << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
+            rows.append((b, int(t["chunk"][0].as_py()), y - x, pack.compress(text.tobytes()), count[f].astype(np.uint8).tobytes(), short.tobytes(), pack.compress(docs[f].tobytes()), begin[by[i:j]].astype(np.uint32).tobytes(), np.packbits(step).tobytes(), np.packbits(least[i:j]).tobytes()))
+        release()
         return pa.table([pa.array([r[k] for r in rows], kinds[k]) for k in range(len(kinds))], names=names)
 
     return meet(chunks, flags, run, _RUNS)
@@ -269,16 +291,16 @@ def _send_runs(chunks: DataFrame, flags: DataFrame, bits: int, size: int) -> Dat
 def _judge(t: pa.Table, size: int) -> pa.Table:
     """In a bucket: which starts of each run repeat a string of a smaller document."""
     counts = np.concatenate(frombytes(t["counts"], np.uint8)).astype(np.int64)
-    anchor = np.concatenate(frombytes(t["anchors"], np.uint64))
-    doc = np.concatenate(frombytes(t["docs"], np.int64))
+    anchor = np.concatenate(frombytes(t["anchors"], np.uint32))
     unzip = zstandard.ZstdDecompressor()
+    doc = np.concatenate([np.frombuffer(unzip.decompress(x), np.int64) for x in t["docs"].to_pylist()])
     text = np.frombuffer(b"".join(unzip.decompress(x) for x in t["contents"].to_pylist()), np.uint8)
     lengths = counts + size - 1
     starts = np.r_[0, np.cumsum(lengths)[:-1]]
     content = np.empty(len(counts), np.uint64)
     a = 0
     while a < len(counts):  # hashed in pieces, for bounded memory
-        b = max(a + 1, int(np.searchsorted(starts, starts[a] + (4 << 20))))
+        b = max(a + 1, int(np.searchsorted(starts, starts[a] + (1 << 20))))
         base = starts[a]
         content[a:b] = span_hashes(text[base : starts[b - 1] + lengths[b - 1]], starts[a:b] - base, starts[a:b] + lengths[a:b] - base)
         a = b
@@ -309,13 +331,15 @@ def _judge(t: pa.Table, size: int) -> pa.Table:
     full = ((np.uint64(1) << counts.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
     sent = np.where(doc > least[group], full, mask[group])
     out_p, out_q, out_n, at = [], [], [], 0
-    for n, pos, cls, low in zip(t["n"].to_pylist(), frombytes(t["pos"], np.uint32), frombytes(t["cls"], np.uint32), frombytes(t["least"], np.uint8)):
+    for n, pos, cls, low in zip(t["n"].to_pylist(), frombytes(t["pos"], np.uint32), frombytes(t["cls"], np.uint8), frombytes(t["least"], np.uint8)):
+        cls = np.cumsum(np.unpackbits(cls, count=len(pos)))
         mine = np.where(np.unpackbits(low, count=len(pos)).astype(bool), sent[at + cls], full[at + cls])
         at += n
         some = mine != 0
         out_p.append(pos[some].tobytes())
         out_q.append(mine[some].tobytes())
         out_n.append(int(some.sum()))
+    release()
     return pa.table({"chunk": t["chunk"], "bucket": t["bucket"], "n": pa.array(out_n, pa.int64()), "p": pa.array(out_p, pa.binary()), "q": pa.array(out_q, pa.binary())})
 
 
@@ -337,6 +361,7 @@ def _cut_out(size: int, text: bool):
         new = covered & ~np.r_[False, covered[:-1]]
         new[offsets[:-1][offsets[:-1] < len(data)]] |= covered[offsets[:-1][offsets[:-1] < len(data)]]
         spans = np.r_[0, np.cumsum(new)]
+        release()
         kept = [data[a:b][~covered[a:b]].tobytes() if total[b] > total[a] else data[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
         return pa.table(
             {
