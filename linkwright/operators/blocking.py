@@ -41,8 +41,9 @@ def minhash(grams, permutations: int = 48, seed: int = 42) -> tuple[Column, Colu
     """Hashes h of the grams, and the array of ``permutations`` least values of (a h + b) mod p over the
     hashes in a column _h; without grams all are p."""
     h = F.transform(grams, lambda g: F.conv(F.substring(F.md5(g.cast("binary")), 1, 7), 16, 10).cast("bigint"))
-    permuted = lambda a, b: F.array_min(F.transform("_h", lambda x: (x * a + b) % PRIME))
-    return h, F.array(*[F.coalesce(permuted(a, b), F.lit(PRIME).cast("bigint")) for a, b in coefficients(permutations, seed)])
+    pairs = ", ".join(f"struct({a}L AS a, {b}L AS b)" for a, b in coefficients(permutations, seed))
+    # one expression over a constant array: as many separate columns would take seconds to plan
+    return h, F.expr(f"transform(array({pairs}), c -> coalesce(array_min(transform(_h, x -> (x * c.a + c.b) % {PRIME}L)), {PRIME}L))")
 
 
 def with_signature(records: DataFrame, permutations: int = 48, ngram: int = 3, seed: int = 42) -> DataFrame:
