@@ -42,8 +42,10 @@ def minhash(grams, permutations: int = 48, seed: int = 42) -> tuple[Column, Colu
     hashes in a column _h; without grams all are p."""
     h = F.transform(grams, lambda g: F.conv(F.substring(F.md5(g.cast("binary")), 1, 7), 16, 10).cast("bigint"))
     pairs = ", ".join(f"struct({a}L AS a, {b}L AS b)" for a, b in coefficients(permutations, seed))
-    # one expression over a constant array: as many separate columns would take seconds to plan
-    return h, F.expr(f"transform(array({pairs}), c -> coalesce(array_min(transform(_h, x -> (x * c.a + c.b) % {PRIME}L)), {PRIME}L))")
+    # one expression over a constant array: as many separate columns would take seconds to plan. The hashes
+    # come in as an argument; named inside the outer lambda, they would be computed anew for each pair
+    each = f"(c, h) -> coalesce(array_min(transform(h, x -> (x * c.a + c.b) % {PRIME}L)), {PRIME}L)"
+    return h, F.expr(f"zip_with(array({pairs}), array_repeat(_h, {permutations}), {each})")
 
 
 def with_signature(records: DataFrame, permutations: int = 48, ngram: int = 3, seed: int = 42) -> DataFrame:
