@@ -193,6 +193,34 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, digests: bool = False) -
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("body")).mapInArrow(run, schema)
 
 
+def fold_in_sql(words: DataFrame, ranks: bytes, word: str = "word", buckets: int = 1 << 14) -> DataFrame:
+    """``words`` (distinct, binary column ``word``) with ``ids``: the same fold as Spark higher-order functions.
+
+    A literal rank map of 50,000 entries is searched from end to end at each look-up, so the ranks are
+    one literal array of small maps by hash. Even so the fold is interpreted, pair by pair; see the
+    README for its cost. For vocabularies of words, not for whole corpora."""
+    by: list[dict] = [{} for _ in range(buckets)]
+    spark = words.sparkSession
+    pieces = spark.createDataFrame([(t, i) for t, i in read_ranks(ranks).items()], "piece binary, rank int")
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
+    for r in pieces.select(place(F.col("piece")).alias("b"), "piece", "rank").collect():  # the rank file's rows
+        by[r["b"]][r["piece"]] = r["rank"]
+    literal = spark.createDataFrame([([list(m.items()) for m in by],)], "_ranks array<array<struct<p:binary,r:int>>>")
+    literal = literal.select(F.transform("_ranks", lambda m: F.map_from_entries(m)).alias("_ranks"))
+    rank = lambda piece: F.element_at(F.col("_ranks"), place(piece) + 1)[piece]
+    start = F.transform(F.sequence(F.lit(1), F.octet_length(word)), lambda i: F.substring(F.col(word), i, F.lit(1)))
+
+    def merge(parts, _):
+        found = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: rank(F.concat(F.element_at(parts, i), F.element_at(parts, i + 1))))
+        at = F.array_position(found, F.array_min(found)).cast("int")
+        joined = F.concat(F.slice(parts, F.lit(1), at - 1), F.array(F.concat(F.element_at(parts, at), F.element_at(parts, at + 1))), F.slice(parts, at + 2, F.size(parts)))
+        return F.when((F.size(parts) < 2) | F.coalesce(F.array_min(found).isNull(), F.lit(True)), parts).otherwise(joined)
+
+    turns = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
+    folded = words.crossJoin(F.broadcast(literal)).withColumn("_parts", F.aggregate(turns, start, merge))
+    return folded.withColumn("ids", F.transform("_parts", rank)).drop("_parts", "_ranks")
+
+
 def decode(df: DataFrame, ranks: bytes, tokens: str = "tokens", out: str = "decoded") -> DataFrame:
     """``df`` with the binary column ``out``: the tokens' pieces, concatenated by a literal array."""
     pieces = {i: t for t, i in read_ranks(ranks).items()}

@@ -289,6 +289,16 @@ def test_bpe(docs, none, corpus):
     assert bpe.encode(none, ranks, pattern).count() == 0
 
 
+def test_bpe_in_sql(spark, corpus):
+    tiktoken = pytest.importorskip("tiktoken")
+    ranks, pattern = bpe._public("byte_bpe_multi_50k.tiktoken")
+    plain = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.read_ranks(ranks), special_tokens={})
+    words = sorted({w for i, t in corpus if i != 90 for w in (t or "").split()})[:150] + ["a", " "]
+    df = spark.createDataFrame([(w.encode(),) for w in words], "word binary")
+    got = {bytes(r["word"]).decode(): r["ids"] for r in bpe.fold_in_sql(df, ranks).collect()}
+    assert got == {w: plain._core_bpe.encode_single_piece(w.encode()) for w in words}
+
+
 def test_chat(spark):
     turns = [(1, 0, "user", "a"), (1, 1, "user", None), (1, 2, "assistant", "<|im_end|> <\\|x"), (1, 3, "assistant", "<<|\\"), (1, 4, None, ""), (2, None, "assistant", "only"), (None, 1, "us\ner\\", "x<"), (3, 5, "user", "t" * 70_000), (3, 5, "user", "t" * 70_000), (4, 0, "assistant", chat.PROBE)]
     df = spark.createDataFrame([(*t, "x", "y") for t in turns], "conv_id bigint, turn bigint, role string, text string, turns string, segments string")
