@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -232,6 +233,49 @@ def test_near_copies(docs, none, corpus):
     assert nearcopies.keep_one(none).count() == 0
 
 
+@pytest.mark.parametrize("sketch", [nearcopies.SKETCH, 64])
+def test_near_copy_groups_of_a_diffuse_cloud(spark, sketch, monkeypatch):
+    """Variants of one text, few of them alike enough: the groups are those of all similar pairs that
+    share a block (with SKETCH under the texts' size, by sketches), in rounds with hubs of every kind."""
+    monkeypatch.setattr(nearcopies, "STEADY", 8)
+    monkeypatch.setattr(nearcopies, "SKETCH", sketch)
+    rng = random.Random(5)
+    prose = lambda rng, n: " ".join(f"word{rng.randint(0, 900)}" for _ in range(n))
+    base = prose(rng, 150).split()
+    texts = []
+    for i in range(150):
+        words = base[:]
+        for _ in range(rng.randint(0, 7)):
+            words[rng.randrange(150)] = f"new{rng.randint(0, 10**6)}"
+        texts.append(" ".join(words))
+    texts += [prose(rng, rng.randint(3, 200)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    got = {r["_id"]: r["root"] for r in nearcopies.groups(docs).collect()}
+
+    def sketched(text):
+        words = text.lower().split()
+        sets = {" ".join(words[i : i + 5]).encode() for i in range(max(1, len(words) - 4))}
+        return set(nearcopies.mix(np.array([xxhash.xxh64_intdigest(x, 42) for x in sets], np.uint64)).tolist())
+
+    sets = [sketched(t) for t in texts]
+    bands = [set(enumerate(nearcopies._bands(np.array(sorted(x), np.uint64)).tolist())) for x in sets]
+
+    def alike(a, b):
+        if not bands[a] & bands[b] or min(len(sets[a]), len(sets[b])) < 0.8 * max(len(sets[a]), len(sets[b])):
+            return False
+        least = [set(sorted(sets[i])[:sketch]) for i in (a, b)]
+        both = least[0] & least[1]
+        if max(map(len, least)) < sketch:
+            return len(both) >= 0.8 * len(least[0] | least[1])
+        union = set(sorted(least[0] | least[1])[:sketch])
+        return len(both & union) >= 0.8 * len(union)
+
+    want = roots(range(len(texts)), alike)
+    assert len(set(want.values())) > 45  # the cloud holds texts that are like no other
+    groups = lambda of: {frozenset(i for i in of if of[i] == r) for r in of.values()}
+    assert groups(got) == groups(want)
+
+
 def test_quality(spark, docs, none, corpus):
     good = [(i, t) for i, t in corpus if i is not None and i < 30]
     labels = spark.createDataFrame([(i, 1) for i, _ in good] + [(1000 + i, 0) for i, _ in good] + [(None, 1), (5, None), (7777, 0)], "doc_id bigint, quality int")
