@@ -21,3 +21,17 @@ def test_repeats_do_not_part_equal_shingle_sets(spark):
     assert max(apart) > 26
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     assert sorted(r["doc_id"] for r in nearcopies.keep_one(docs).collect()) == list(range(0, 12, 2))
+
+
+def test_long_texts_are_judged_by_whole_shingle_sets(spark):
+    """Pairs of over SKETCH shingles, just above and just below 0.8: all judged rightly."""
+    texts, want = [], []
+    for seed in range(24):
+        rng = random.Random(seed)
+        words = [f"w{rng.randint(0, 10**9)}" for _ in range(2404)]  # 2,400 shingles
+        # a changed tail of t words is t other shingles: (2400 - t) / (2400 + t)
+        t = 266 if seed % 2 else 270  # 0.8005 and 0.7978
+        texts += [" ".join(words), " ".join(words[:-t] + [f"n{rng.randint(0, 10**9)}" for _ in range(t)])]
+        want += [2 * seed] if seed % 2 else [2 * seed, 2 * seed + 1]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert sorted(r["doc_id"] for r in nearcopies.keep_one(docs).collect()) == want
