@@ -14,7 +14,8 @@ sum of the logarithms (base 10).
 Count tables are partitioned by the n-gram's hash: each chunk of documents sends its distinct n-grams
 with their counts to the hash's bucket (pre-summed, so a hot n-gram is one entry per chunk), the
 bucket sums them, and the sums return to the chunk's exploded n-grams, where they are joined by place
-and summed per document. An n-gram is told by its bucket and 48 more bits of hash.
+and summed per document. An n-gram is told by its bucket and 48 more bits of hash; these are sent sorted,
+as differences.
 
 A null text is empty, with no words and score 0. Repeated rows are documents of their own, so exact
 copies see one another. Empty tables give no rows. Extra columns are ignored.
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from .chunks import bucket_bits, by_bucket, chunked, meet, split_chunk, unpack, word_bounds
 from .common import mix, release, span_hashes, table
 
-ORDER = 2
+ORDER = 3
 BACKOFF = 0.4
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -62,6 +63,19 @@ def _distinct(hashes: list[np.ndarray]):
     return u, np.split(inverse, len(hashes)), count
 
 
+def _packed(sorted_keys: np.ndarray, pack: zstandard.ZstdCompressor) -> bytes:
+    """Ascending 48-bit keys as differences: the low 32 bits of each, then the high 16, by bytes, compressed."""
+    gaps = np.diff(sorted_keys, prepend=np.uint64(0))
+    high = (gaps >> np.uint64(32)).astype("<u2").view(np.uint8)
+    return gaps.astype("<u4").tobytes() + pack.compress(high[::2].tobytes() + high[1::2].tobytes())
+
+
+def _unpacked(p: bytes, n: int, unzip: zstandard.ZstdDecompressor) -> np.ndarray:
+    high = np.frombuffer(unzip.decompress(p[4 * n :]), np.uint8).astype(np.uint64)
+    gaps = np.frombuffer(p, "<u4", n).astype(np.uint64) | (high[:n] << np.uint64(32)) | (high[n:] << np.uint64(40))
+    return np.cumsum(gaps, dtype=np.uint64)
+
+
 def _send(chunks: DataFrame, bits: int, order: int) -> DataFrame:
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1)
@@ -71,8 +85,7 @@ def _send(chunks: DataFrame, bits: int, order: int) -> DataFrame:
                 hashes, _, _ = grams(*unpack(text, bounds), order)
                 u, _, count = _distinct(hashes)
                 rest = (u << np.uint64(bits)) >> np.uint64(16)
-                high, low = (rest >> np.uint64(16)).astype(np.uint32), rest.astype(np.uint16)
-                rows = [(b, chunk, y - x, high[x:y].tobytes() + low[x:y].tobytes(), pack.compress(count[x:y].astype(np.uint32).tobytes())) for b, x, y in by_bucket(u, bits)]
+                rows = [(b, chunk, y - x, _packed(rest[x:y], pack), pack.compress(count[x:y].astype(np.uint32).tobytes())) for b, x, y in by_bucket(u, bits)]
                 if rows:
                     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=["bucket", "chunk", "n", "p", "q"])
@@ -83,8 +96,8 @@ def _send(chunks: DataFrame, bits: int, order: int) -> DataFrame:
 def _sum(t: pa.Table) -> pa.Table:
     """In a bucket: how often each chunk's n-grams occur in other chunks."""
     sizes = t["n"].to_pylist()
-    keys = np.concatenate([(np.frombuffer(p, np.uint32, n).astype(np.uint64) << np.uint64(16)) | np.frombuffer(p, np.uint16, n, 4 * n) for p, n in zip(t["p"].to_pylist(), sizes)])
     pack, unzip = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+    keys = np.concatenate([_unpacked(p, n, unzip) for p, n in zip(t["p"].to_pylist(), sizes)])
     count = np.concatenate([np.frombuffer(unzip.decompress(x), np.uint32) for x in t["q"].to_pylist()]).astype(np.int64)
     by = np.argsort(keys, kind="stable")
     s = keys[by]
