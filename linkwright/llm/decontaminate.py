@@ -10,6 +10,8 @@ row. Empty tables: no rows, or no hits. Extra columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -180,53 +182,91 @@ def report(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES
     )
 
 
+def _without(rest: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, words: tuple, hit: np.ndarray, max_share: float) -> pa.RecordBatch:
+    """``rest`` (whose texts are ``data``) without its hit words; ``words``: starts, ends and rows."""
+    starts, ends, row = words
+    names = rest.schema.names
+    total = np.bincount(row, minlength=rest.num_rows)
+    bad = np.bincount(row[hit], minlength=rest.num_rows)
+    keep = bad <= max_share * total
+    # from the first byte of a hit run's first word to the last of its last word
+    depth = np.zeros(len(data) + 1, np.int8)
+    same = hit[1:] & hit[:-1] & (row[1:] == row[:-1])
+    begin = np.flatnonzero(hit & ~np.r_[False, same])
+    end = np.flatnonzero(hit & ~np.r_[same, False])
+    depth[starts[begin]] += 1
+    depth[ends[end]] -= 1
+    cutout = np.cumsum(depth[:-1]) > 0
+    text = rest.column(names.index("text")).to_pylist()
+    size = rest.column(names.index("n_chars")).to_pylist() if "n_chars" in names else None
+    for r in np.flatnonzero(bad > 0).tolist():
+        part = data[offsets[r] : offsets[r + 1]]
+        text[r] = part[~cutout[offsets[r] : offsets[r + 1]]].tobytes().decode("utf-8", "replace")
+        if size:
+            size[r] = len(text[r])
+    arrays = [pa.array(text, c.type) if n == "text" else pa.array(size, c.type) if n == "n_chars" else c for n, c in zip(names, rest.columns)]
+    return pa.RecordBatch.from_arrays(arrays, names=names).filter(pa.array(keep))
+
+
+def _shared_index(block: DataFrame):
+    items = [(str(r["item_id"]), bytes(r["body"])) for r in block.where("text is not null").select("item_id", F.col("text").cast("binary").alias("body")).collect()]
+    return block.sparkSession.sparkContext.broadcast(_index(items))
+
+
 def remove_spans(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, max_share: float = 0.5) -> DataFrame:
     """``docs`` without the benchmark's passages: hit byte ranges are cut out of the text, and a
     document of whose words over ``max_share`` are hit goes as a whole. Columns stay; n_chars, if
-    there, is set anew for changed texts. A document without hits is unchanged."""
-    spark = docs.sparkSession
-    prepare(spark)
+    there, is set anew for changed texts. A document without hits is unchanged.
+
+    With more than one block, each looks for hits in the uncut texts; the hits of all are merged by
+    row before any is cut, so that the blocks' size does not change the result."""
+    prepare(docs.sparkSession)
     blocks = benchmark_blocks(benchmark.select("item_id", "text"), block_bytes)
     names, docs = docs.columns, shielded(docs)
-    for block in blocks:
-        items = [(str(r["item_id"]), bytes(r["body"])) for r in block.where("text is not null").select("item_id", F.col("text").cast("binary").alias("body")).collect()]
-        shared = spark.sparkContext.broadcast(_index(items))
-        columns = docs.columns
-        schema = docs.schema
+    columns, schema = docs.columns, docs.schema
+    if len(blocks) == 1:
+        shared = _shared_index(blocks[0])
 
-        def scan(batches, shared=shared, columns=columns):
-            index = shared.value
+        def scan(batches):
             for batch, data, offsets in slabs(batches, "_body"):
-                starts, ends, row, hit, _ = _hits(index, data, offsets)
+                *words, hit, _ = _hits(shared.value, data, offsets)
                 rest = batch.select(columns)
-                if not hit.any():
-                    yield rest
-                    continue
-                total = np.bincount(row, minlength=batch.num_rows)
-                bad = np.bincount(row[hit], minlength=batch.num_rows)
-                keep = bad <= max_share * total
-                # from the first byte of a hit run's first word to the last of its last word
-                depth = np.zeros(len(data) + 1, np.int8)
-                same = hit[1:] & hit[:-1] & (row[1:] == row[:-1])
-                begin = np.flatnonzero(hit & ~np.r_[False, same])
-                end = np.flatnonzero(hit & ~np.r_[same, False])
-                depth[starts[begin]] += 1
-                depth[ends[end]] -= 1
-                cutout = np.cumsum(depth[:-1]) > 0
-                text = rest.column(columns.index("text")).to_pylist()
-                size = rest.column(columns.index("n_chars")).to_pylist() if "n_chars" in columns else None
-                for r in np.flatnonzero(bad > 0).tolist():
-                    part = data[offsets[r] : offsets[r + 1]]
-                    text[r] = part[~cutout[offsets[r] : offsets[r + 1]]].tobytes().decode("utf-8", "replace")
-                    if size:
-                        size[r] = len(text[r])
-                arrays = [pa.array(text, c.type) if n == "text" else pa.array(size, c.type) if n == "n_chars" else c for n, c in zip(columns, rest.columns)]
-                yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(keep))
-
-        docs = docs.withColumn("_body", F.col("text").cast("binary")).mapInArrow(scan, schema)
-        if len(blocks) > 1:
-            docs = cut(docs)
-    return docs.toDF(*names)
+                yield _without(rest, data, offsets, tuple(words), hit, max_share) if hit.any() else rest
+
+        return docs.withColumn("_body", F.col("text").cast("binary")).mapInArrow(scan, schema).toDF(*names)
+
+    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()))  # each block sees the same row numbers
+    found = []
+    for block in blocks:
+
+        def find(batches, shared=_shared_index(block)):
+            for batch, data, offsets in slabs(batches, "_body"):
+                _, _, row, hit, _ = _hits(shared.value, data, offsets)
+                if hit.any():
+                    place = np.arange(len(row)) - np.searchsorted(row, row)
+                    with_hits = np.unique(row[hit])
+                    ordinals = np.split(place[hit], np.searchsorted(row[hit], with_hits)[1:])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(with_hits)), pa.array(ordinals, pa.list_(pa.int64()))], names=["_row", "_words"])
+
+        found.append(rows.select("_row", F.col("text").cast("binary").alias("_body")).mapInArrow(find, "_row bigint, _words array<bigint>"))
+    merged = reduce(DataFrame.unionByName, found).groupBy("_row").agg(F.flatten(F.collect_list("_words")).alias("_words"))
+
+    def apply(batches):
+        for batch, data, offsets in slabs(batches, "_body"):
+            rest, ordinals = batch.select(columns), batch.column(batch.schema.get_field_index("_words"))
+            if ordinals.null_count == len(ordinals):
+                yield rest
+                continue
+            _, starts, ends, row = words_of(data, offsets)
+            first = np.searchsorted(row, np.arange(batch.num_rows))
+            hit = np.zeros(len(row), bool)
+            for r, places in enumerate(ordinals):
+                if places.is_valid:
+                    hit[first[r] + places.values.to_numpy()] = True
+            yield _without(rest, data, offsets, (starts, ends, row), hit, max_share)
+
+    joined = rows.join(cut(merged), "_row", "left").withColumn("_body", F.col("text").cast("binary"))
+    return joined.mapInArrow(apply, schema).toDF(*names)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
