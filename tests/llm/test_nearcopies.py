@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from linkwright.llm import nearcopies, simhash
 
@@ -35,3 +36,60 @@ def test_long_texts_are_judged_by_whole_shingle_sets(spark):
         want += [2 * seed] if seed % 2 else [2 * seed, 2 * seed + 1]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     assert sorted(r["doc_id"] for r in nearcopies.keep_one(docs).collect()) == want
+
+
+def _cloud(seed, n, words=220):
+    """Texts that differ from one base in a few places each, some of them from one another's variants."""
+    rng = random.Random(seed)
+    base = [f"b{seed}x{k}" for k in range(words)]
+    out = []
+    for i in range(n):
+        t = list(rng.choice(out).split()) if out and rng.random() < 0.3 else list(base)
+        for _ in range(rng.randint(1, 9)):
+            t[rng.randrange(words)] = f"c{rng.randint(0, 10**9)}"
+        out.append(" ".join(t))
+    return out
+
+
+def _brute(texts, least=0.8):
+    sets = []
+    for t in texts:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both >= least * (len(a) + len(sets[j]) - both) - 1e-9:
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return sorted({find(i) for i in range(len(texts))})
+
+
+@pytest.mark.parametrize(("crowd", "levels"), [(32, 4), (3, 4), (3, 1), (3, 0)])
+def test_crowds_are_grouped_as_by_brute_force(spark, crowd, levels):
+    """The same groups whatever counts as a crowd and however many levels there are; copies stay linear."""
+    texts = [t for seed in range(3) for t in _cloud(seed, 60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    tell = []
+    got = nearcopies.groups(docs, margin=nearcopies.MARGIN, crowd=crowd, levels=levels, tell=tell)
+    best = {}
+    for r in got.collect():
+        best[r["root"]] = min(best.get(r["root"], r["_id"]), r["_id"])
+    want = _brute(texts)
+    # a link is found with a chance of 0.998 a pair; these texts are chosen once and for all
+    assert sorted(best.values()) == want
+    assert all(pairs <= rows * max(crowd / 2, nearcopies.HUBS) for rows, pairs in tell[:levels])
+
+
+def test_no_nodes_no_groups(spark):
+    docs = spark.createDataFrame([], "doc_id bigint, text string, extra string")
+    assert nearcopies.keep_one(docs).collect() == []
+    docs = spark.createDataFrame([(1, None), (2, ""), (None, "a b"), (3, "a b"), (3, "a b")], "doc_id bigint, text string")
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in nearcopies.keep_one(docs).collect()) == [(False, 1), (True, 0)]
