@@ -72,7 +72,7 @@ def _brute(texts, least=0.8):
     return sorted({find(i) for i in range(len(texts))})
 
 
-@pytest.mark.parametrize(("crowd", "levels"), [(32, 4), (3, 4), (3, 1), (3, 0)])
+@pytest.mark.parametrize(("crowd", "levels"), [(32, 4), (3, 3), (3, 0)])
 def test_crowds_are_grouped_as_by_brute_force(spark, crowd, levels):
     """The same groups whatever counts as a crowd and however many levels there are; copies stay linear."""
     texts = [t for seed in range(3) for t in _cloud(seed, 60)]
