@@ -15,26 +15,42 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, prepare, slabs
+from .common import SLAB_BYTES, cut, prepare, slabs
 
 SCHEMA = "chunk bigint, ids array<bigint>, size bigint, words bigint, text binary, bounds binary"
 #: Bytes of corpus text for which one bucket of an exchange stands.
 BUCKET_BYTES = 12 << 20
 
 
-def chunked(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text; null texts are empty) as a written table of chunks."""
+def chunked(docs: DataFrame, limit: int = SLAB_BYTES, level: int = 6) -> DataFrame:
+    """``docs`` (doc_id, text; null texts are empty) as a written table of chunks of up to ``limit`` bytes
+    (a longer text is a chunk of its own)."""
     prepare(docs.sparkSession)
 
     def run(batches):
         at = TaskContext.get().partitionId() << 33
-        pack = zstandard.ZstdCompressor(level=6)
-        for batch, data, offsets in slabs(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([at]), pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([len(data)]), pa.array([len(word_bounds(data, offsets)[0])]), pa.array([pack.compress(data.tobytes())], pa.binary()), pa.array([offsets.tobytes()], pa.binary())],
+        pack = zstandard.ZstdCompressor(level=level)
+
+        def made(ids, parts, ends):
+            data, offsets = np.concatenate(parts), np.concatenate([np.zeros(1, np.int64), *ends])
+            words = len(word_bounds(data, offsets)[0])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([at]), pa.array([ids], pa.list_(pa.int64())), pa.array([len(data)]), pa.array([words]), pa.array([pack.compress(data.tobytes())], pa.binary()), pa.array([offsets.tobytes()], pa.binary())],
                 names=["chunk", "ids", "size", "words", "text", "bounds"],
             )
-            at += 1
+
+        ids, parts, ends, size = [], [], [], 0
+        for batch, data, offsets in slabs(batches, limit=min(limit, SLAB_BYTES)):
+            if ids and size + len(data) > limit:
+                yield made(ids, parts, ends)
+                at += 1
+                ids, parts, ends, size = [], [], [], 0
+            ids += batch.column(0).to_pylist()
+            parts.append(data.copy())
+            ends.append(offsets[1:] + size)
+            size += len(data)
+        if ids:
+            yield made(ids, parts, ends)
 
     return cut(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("body")).mapInArrow(run, SCHEMA))
 

@@ -34,6 +34,8 @@ from .common import mix, release, span_hashes, table
 
 ORDER = 3
 BACKOFF = 0.4
+#: Bytes of text in a chunk: the more, the fewer n-grams are sent more than once.
+CHUNK_BYTES = 6 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -76,6 +78,21 @@ def _unpacked(p: bytes, n: int, unzip: zstandard.ZstdDecompressor) -> np.ndarray
     return np.cumsum(gaps, dtype=np.uint64)
 
 
+def _planes(counts: np.ndarray, pack: zstandard.ZstdCompressor) -> bytes:
+    """Counts up to 2**32 byte by byte: all low bytes first, which are small and alike."""
+    b = counts.astype("<u4").view(np.uint8).reshape(-1, 4)
+    return b"".join([len(x).to_bytes(4, "little") + x for x in (pack.compress(b[:, i].tobytes()) for i in range(4))])
+
+
+def _counts(p: bytes, n: int, unzip: zstandard.ZstdDecompressor) -> np.ndarray:
+    out, at = np.zeros((n, 4), np.uint8), 0
+    for i in range(4):
+        size = int.from_bytes(p[at : at + 4], "little")
+        out[:, i] = np.frombuffer(unzip.decompress(p[at + 4 : at + 4 + size], max_output_size=max(n, 1)), np.uint8)
+        at += 4 + size
+    return out.view("<u4")[:, 0].astype(np.int64)
+
+
 def _send(chunks: DataFrame, bits: int, order: int) -> DataFrame:
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1)
@@ -85,7 +102,7 @@ def _send(chunks: DataFrame, bits: int, order: int) -> DataFrame:
                 hashes, _, _ = grams(*unpack(text, bounds), order)
                 u, _, count = _distinct(hashes)
                 rest = (u << np.uint64(bits)) >> np.uint64(16)
-                rows = [(b, chunk, y - x, _packed(rest[x:y], pack), pack.compress(count[x:y].astype(np.uint32).tobytes())) for b, x, y in by_bucket(u, bits)]
+                rows = [(b, chunk, y - x, _packed(rest[x:y], pack), _planes(count[x:y], pack)) for b, x, y in by_bucket(u, bits)]
                 if rows:
                     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=["bucket", "chunk", "n", "p", "q"])
@@ -98,7 +115,7 @@ def _sum(t: pa.Table) -> pa.Table:
     sizes = t["n"].to_pylist()
     pack, unzip = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
     keys = np.concatenate([_unpacked(p, n, unzip) for p, n in zip(t["p"].to_pylist(), sizes)])
-    count = np.concatenate([np.frombuffer(unzip.decompress(x), np.uint32) for x in t["q"].to_pylist()]).astype(np.int64)
+    count = np.concatenate([_counts(x, n, unzip) for x, n in zip(t["q"].to_pylist(), sizes)])
     by = np.argsort(keys, kind="stable")
     s = keys[by]
     head = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
@@ -106,7 +123,7 @@ def _sum(t: pa.Table) -> pa.Table:
     others = np.empty(len(keys), np.int64)
     others[by] = np.repeat(total, np.diff(np.r_[head, len(by)])) - count[by]
     cuts = np.r_[0, np.cumsum(sizes)]
-    return pa.table({"chunk": t["chunk"], "bucket": t["bucket"], "n": t["n"], "p": pa.array([pack.compress(others[a:b].astype(np.uint32).tobytes()) for a, b in zip(cuts, cuts[1:])], pa.binary())})
+    return pa.table({"chunk": t["chunk"], "bucket": t["bucket"], "n": t["n"], "p": pa.array([_planes(others[a:b], pack) for a, b in zip(cuts, cuts[1:])], pa.binary())})
 
 
 def _score(order: int, total: int):
@@ -119,7 +136,7 @@ def _score(order: int, total: int):
         sums = np.zeros(n_rows)
         if len(row):
             u, index, count = _distinct(hashes)
-            corpus = count + np.concatenate([np.frombuffer(unzip.decompress(t["p"][i].as_py()), np.uint32) for i in by]).astype(np.int64)
+            corpus = count + np.concatenate([_counts(t["p"][i].as_py(), t["n"][i].as_py(), unzip) for i in by])
             left = []  # for each n, the count in other documents of the n-gram that ends at each word
             for k in index:
                 pair = row.astype(np.int64) * len(u) + k
@@ -143,7 +160,7 @@ def _score(order: int, total: int):
 
 def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, n_words, score, mean_score (by word; 0 for no words): a row for each row of ``docs``."""
-    chunks = chunked(docs)
+    chunks = chunked(docs, CHUNK_BYTES, 9)
     bits = bucket_bits(chunks)
     total = chunks.agg(F.sum("words").alias("n")).first()["n"] or 0
     sums = _send(chunks, bits, order).groupBy("bucket").applyInArrow(_sum, "chunk bigint, bucket bigint, n bigint, p binary")
@@ -152,3 +169,34 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
 def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+w AS (SELECT rid, unnest(words) AS g1, generate_subscripts(words, 1) AS i FROM d),
+g AS (
+  SELECT rid, i, g1, CASE WHEN i > 1 THEN p1 || ' ' || g1 END AS g2, CASE WHEN i > 2 THEN p2 || ' ' || p1 || ' ' || g1 END AS g3
+  FROM (SELECT *, lag(g1, 1) OVER o AS p1, lag(g1, 2) OVER o AS p2 FROM w WINDOW o AS (PARTITION BY rid ORDER BY i))),
+k AS (
+  SELECT rid, i, n, t FROM (
+    SELECT rid, i, 1 AS n, g1 AS t FROM g UNION ALL SELECT rid, i, 2, g2 FROM g WHERE g2 IS NOT NULL UNION ALL SELECT rid, i, 3, g3 FROM g WHERE g3 IS NOT NULL)),
+corpus AS (SELECT n, t, count(*) AS c FROM k GROUP BY n, t),
+own AS (SELECT rid, n, t, count(*) AS c FROM k GROUP BY rid, n, t),
+others AS (SELECT o.rid, o.n, o.t, a.c - o.c AS c FROM own o JOIN corpus a ON o.n = a.n AND o.t = a.t),
+l AS (
+  SELECT k.rid, k.i, max(CASE WHEN k.n = 1 THEN o.c END) AS l1, coalesce(max(CASE WHEN k.n = 2 THEN o.c END), 0) AS l2, coalesce(max(CASE WHEN k.n = 3 THEN o.c END), 0) AS l3
+  FROM k JOIN others o ON k.rid = o.rid AND k.n = o.n AND k.t = o.t GROUP BY k.rid, k.i),
+b AS (
+  SELECT *, lag(l1) OVER o AS b1, lag(l2) OVER o AS b2, least(3, i) AS here,
+    (SELECT count(*) FROM w) - count(*) OVER (PARTITION BY rid) AS rest
+  FROM l WINDOW o AS (PARTITION BY rid ORDER BY i)),
+v AS (
+  SELECT rid, count(*) AS n, sum(log10(CASE WHEN l3 > 0 THEN l3 / b2::DOUBLE WHEN l2 > 0 THEN pow(0.4, here - 2) * l2 / b1
+    WHEN l1 > 0 THEN pow(0.4, here - 1) * l1 / greatest(rest, 1) ELSE pow(0.4, here) / (1 + rest) END)) AS s
+  FROM b GROUP BY rid)
+SELECT d.doc_id, CAST(coalesce(v.n, 0) AS BIGINT) AS n_words, round(coalesce(v.s, 0.0), 6) AS score, round(coalesce(v.s / v.n, 0.0), 6) AS mean_score
+FROM d LEFT JOIN v ON d.rid = v.rid
+"""

@@ -17,5 +17,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_chat": chat.SQL,
+    "op7_lm": lm.SQL,
     "op9_lines": lines.SQL,
 }

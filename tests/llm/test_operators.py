@@ -236,8 +236,7 @@ def test_near_copies(docs, none, corpus):
 @pytest.mark.parametrize("sketch", [nearcopies.SKETCH, 64])
 def test_near_copy_groups_of_a_diffuse_cloud(spark, sketch, monkeypatch):
     """Variants of one text, few of them alike enough: the groups are those of all similar pairs that
-    share a block (with SKETCH under the texts' size, by sketches), in rounds with hubs of every kind."""
-    monkeypatch.setattr(nearcopies, "STEADY", 8)
+    share a block (with SKETCH under the texts' size, by sketches), with crowds of over 8 and levels of differences."""
     monkeypatch.setattr(nearcopies, "SKETCH", sketch)
     rng = random.Random(5)
     prose = lambda rng, n: " ".join(f"word{rng.randint(0, 900)}" for _ in range(n))
@@ -250,7 +249,7 @@ def test_near_copy_groups_of_a_diffuse_cloud(spark, sketch, monkeypatch):
         texts.append(" ".join(words))
     texts += [prose(rng, rng.randint(3, 200)) for _ in range(40)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
-    got = {r["_id"]: r["root"] for r in nearcopies.groups(docs).collect()}
+    got = {r["_id"]: r["root"] for r in nearcopies.groups(docs, crowd=8).collect()}
 
     def sketched(text):
         words = text.lower().split()
