@@ -6,14 +6,16 @@ these the method adds ``generic`` candidates: runs of 20 or more of [A-Za-z0-9+/
 case, upper case and digits and touch no base span.
 
 Each candidate value is hashed; hashes are counted by distinct owners and repositories over the whole
-corpus. A value that more than ``MAX_OWNERS`` owners have is a widely copied example; the others are
-owner-specific, live-looking ones. A generic candidate becomes a span only if it is live-looking.
+corpus, copies of a text being counted where the first of them (by repository) stands, as a copied document
+does not make its secrets examples. A value that more than ``MAX_OWNERS`` owners or ``MAX_REPOS`` repositories
+have is a widely copied example; the others are owner-specific, live-looking ones. A generic candidate
+becomes a span only if it is live-looking.
 
 Documents' ``source`` is taken as owner, source and language together as repository. Null texts are
 empty; null owners count as one owner. Rows are told apart by a row number, so repeated doc_ids are
 reported row by row. Empty tables give no rows; extra columns are ignored.
 
-Distinct (hash, repository, owner) are formed with map-side sums before the count, and
+Distinct (hash, text) are formed with map-side sums before the count, and
 spans of a hash that a third of all rows hold are dealt among salts when the counts are joined back.
 """
 
@@ -29,23 +31,41 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # a run that fails with its first AKIA fails with any later one
 HEX = r"[0-9a-f]{24,}"  # runs are maximal either way
 GENERIC = r"[A-Za-z0-9+/_=-]{20,}"
-MAX_OWNERS = 1
+#: A value is a widely copied example if more owners, or more repositories, than these have it.
+MAX_OWNERS = 2
+MAX_REPOS = 4
+#: Matches whose positions are summed at a time.
+RUN = 128
 
 
-def located(text: Column, pattern: str) -> Column:
-    """Array of (start, end, found): matches with code point positions, from the pieces between them."""
+def matches(text: Column, pattern: str) -> Column:
+    """Array of (gap, found): each match and the number of code points between the one before and it."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    rest = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,found:string>>").alias("spans"))
+    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+    pairs = F.zip_with(gaps, found, lambda g, f: F.struct(F.length(g).alias("gap"), f.alias("found")))
+    # most texts have no match: they are not split
+    return F.when(F.size(found) == 0, F.array().cast("array<struct<gap:int,found:string>>")).otherwise(pairs)
+
+
+def located(name: str) -> Column:
+    """Array of (start, end, found), in code points, from a column of ``matches``.
+
+    Spark copies what an aggregate has gathered at each step. So positions are summed over runs of ``RUN``
+    matches, and then within each run from its own start. The column is named more than once, so that Spark
+    computes it once and not in every run."""
+    none = F.array().cast("array<struct<start:int,end:int,found:string>>")
+    runs = F.sequence(F.lit(0), F.floor((F.size(name) - 1) / RUN).cast("int"))
+    run = lambda i: F.slice(name, i * RUN + 1, F.lit(RUN))
+    sums = F.transform(runs, lambda i: F.aggregate(run(i), F.lit(0), lambda a, x: a + x["gap"] + F.length(x["found"])))
+    starts = F.aggregate(sums, F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
 
     def add(a, x):
-        begin = a["at"] + F.length(x["piece"])
+        begin = a["at"] + x["gap"]
         end = begin + F.length(x["found"])
         return F.struct(end.alias("at"), F.concat(a["spans"], F.array(F.struct(begin.alias("start"), end.alias("end"), x["found"].alias("found")))).alias("spans"))
 
-    pairs = F.zip_with(F.slice(rest, 1, F.size(found)), found, lambda p, f: F.struct(p.alias("piece"), f.alias("found")))
-    # most texts have no match: they are not split
-    return F.when(F.size(found) == 0, F.array().cast("array<struct<start:int,end:int,found:string>>")).otherwise(F.aggregate(pairs, start, add, lambda a: a["spans"]))
+    spans = F.zip_with(F.slice(starts, F.lit(1), F.size(runs)), runs, lambda at, i: F.aggregate(run(i), F.struct(at.alias("at"), none.alias("spans")), add, lambda a: a["spans"]))
+    return F.when(F.size(name) == 0, none).otherwise(F.flatten(spans))
 
 
 def _tag(spans: Column, order: int, kind: str, value) -> Column:
@@ -57,34 +77,34 @@ def _joined(spans: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """row, doc_id, repo, owner, base and generic (sorted arrays of spans with hashes)."""
+    """row, doc_id, repo, owner, th (hash of the text), base and generic (sorted arrays of spans with hashes)."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce("source", F.lit("")).alias("owner"),
         F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit(""))).alias("repo"),
-        located(text, ASSIGN).alias("a"),
-        located(text, ACCESS).alias("k"),
-        located(text, HEX).alias("x"),
-        located(text, GENERIC).alias("g"),
+        F.xxhash64(text).alias("th"),
+        *(matches(text, p).alias(n) for n, p in (("a", ASSIGN), ("k", ACCESS), ("x", HEX), ("g", GENERIC))),
     )
+    rows = rows.select("row", "doc_id", "owner", "repo", "th", *(located(n).alias(n) for n in ("a", "k", "x", "g")))
     value = lambda f: F.regexp_extract(f, ASSIGN, 1)
     whole = lambda f: f
     base = F.concat(_tag(F.filter("a", lambda m: F.length(value(m["found"])) >= 6), 0, "assign", value), _tag(F.col("k"), 1, "access", whole), _tag(F.col("x"), 2, "hex", whole))
-    rows = rows.select("row", "doc_id", "owner", "repo", F.array_sort(base).alias("base"), "g")
+    rows = rows.select("row", "doc_id", "owner", "repo", "th", F.array_sort(base).alias("base"), "g")
     mixed = lambda m: m["found"].rlike("[a-z]") & m["found"].rlike("[A-Z]") & m["found"].rlike("[0-9]")
     free = F.filter("g", lambda m: mixed(m) & ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    return rows.select("row", "doc_id", "owner", "repo", "base", _tag(free, 3, "generic", whole).alias("generic"))
+    return rows.select("row", "doc_id", "owner", "repo", "th", "base", _tag(free, 3, "generic", whole).alias("generic"))
 
 
-def scan(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
+def scan(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """One row per row of ``docs``: base counts and digest, all spans, and how many are live or examples."""
     found = cut(candidates(docs))
-    spans = found.where((F.size("base") > 0) | (F.size("generic") > 0)).select("row", "owner", "repo", F.explode(F.concat("base", "generic")).alias("s")).select("row", "owner", "repo", F.col("s.h").alias("h"), "s")
-    owned = spans.groupBy("h", "repo", "owner").agg(F.count("*").alias("n"))
-    counts = owned.groupBy("h").agg(F.count_distinct("repo").alias("repos"), F.count_distinct("owner").alias("owners"))
-    judged = salted_join(spans.select("row", "h", "s"), counts, "h").withColumn("live", F.col("owners") <= max_owners)
+    spans = found.where((F.size("base") > 0) | (F.size("generic") > 0)).select("row", "owner", "repo", "th", F.explode(F.concat("base", "generic")).alias("s")).select("row", "owner", "repo", "th", F.col("s.h").alias("h"), "s")
+    owned = spans.groupBy("h", "th").agg(F.min(F.struct("repo", "owner")).alias("o"))
+    counts = owned.groupBy("h").agg(F.count_distinct("o.repo").alias("repos"), F.count_distinct("o.owner").alias("owners"))
+    # the counts grow with the corpus: never a broadcast, whatever their estimated size
+    judged = salted_join(spans.select("row", "h", "s"), counts.hint("merge"), "h").withColumn("live", (F.col("owners") <= max_owners) & (F.col("repos") <= max_repos))
     by_row = judged.groupBy("row").agg(
         F.array_sort(F.collect_list(F.when(F.col("live") | (F.col("s.o") < 3), F.col("s")))).alias("spans"),
         F.count_if("live").alias("n_live"),
