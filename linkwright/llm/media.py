@@ -1,7 +1,7 @@
 """Media columns: telephony audio (G.711 mu-law and A-law, IMA ADPCM) in binary columns.
 
-``encode`` packs bytes as the 8-bit samples of a mono WAV; ``read_back`` parses such a file again
-and returns its samples. Companded samples are expanded by 256-entry tables computed from the
+``encode`` packs bytes as the samples of a mono WAV of one of the formats; ``read_back`` parses such a file
+again and returns its samples; ``stored`` keeps all of them and the resampled PCM as columns. Companded samples are expanded by 256-entry tables computed from the
 published rules; ADPCM blocks are decoded step by step with numpy across all blocks at once;
 ``resample`` doubles 8 kHz to 16 kHz by linear interpolation in integers.
 
@@ -115,9 +115,9 @@ def read_back(media: bytes) -> tuple[int, int, memoryview]:
     raise ValueError("no samples")
 
 
-def encode(body: bytes) -> bytes:
-    """``body`` and zeros up to a positive multiple of 64, as mu-law samples."""
-    return wav(body + b"\0" * (-len(body) % BLOCK if body else BLOCK), MULAW)
+def encode(body: bytes, kind: int = MULAW) -> bytes:
+    """``body`` and zeros up to a positive multiple of 64, as samples of ``kind`` (ADPCM: blocks of 64)."""
+    return wav(body + b"\0" * (-len(body) % BLOCK if body else BLOCK), kind, bits=4 if kind == IMA_ADPCM else 8)
 
 
 def decode(samples, kind: int) -> np.ndarray:
@@ -138,20 +138,46 @@ def to_pcm_wav(media: bytes) -> bytes:
     return wav(resample(decode(samples, kind)).tobytes(), PCM, 2 * rate, 16)
 
 
-def add_media(docs: DataFrame, text: str = "text", media: str = "media") -> DataFrame:
-    """``docs`` with a binary column ``media`` (in place of any of that name) of mu-law WAV files."""
+def _with_binary(docs: DataFrame, source: str, made: dict) -> DataFrame:
+    """``docs`` with binary columns (in place of any of their names): each of ``made`` is a function of the bytes of ``source``."""
     prepare(docs.sparkSession)
-    docs = docs.drop(media)
-    columns, schema = docs.columns, StructType([*docs.schema.fields, StructField(media, BinaryType())])
-    body = "_" * (1 + max(map(len, columns))) + "body"  # longer than any column's name
+    kept = docs.drop(*made)
+    columns = kept.columns
+    schema = StructType([*kept.schema.fields, *(StructField(c, BinaryType()) for c in made)])
+    body = "_" * (1 + max(map(len, docs.columns))) + "body"  # longer than any column's name
 
     def run(batches):
         for batch, data, offsets in slabs(batches, body):
             raw = data.tobytes()
-            files = [encode(raw[a:b]) for a, b in zip(offsets, offsets[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.select(columns).columns, pa.array(files, pa.binary())], names=[*columns, media])
+            parts = [raw[a:b] for a, b in zip(offsets, offsets[1:])]
+            files = [pa.array([f(x) for x in parts], pa.binary()) for f in made.values()]
+            yield pa.RecordBatch.from_arrays([*batch.select(columns).columns, *files], names=[*columns, *made])
 
-    return docs.withColumn(body, F.col(text).cast("binary")).mapInArrow(run, schema)
+    return docs.withColumn(body, F.col(source).cast("binary")).select(*columns, body).mapInArrow(run, schema)
+
+
+def add_media(docs: DataFrame, text: str = "text", media: str = "media", kind: int = MULAW) -> DataFrame:
+    """``docs`` with a binary column ``media`` (in place of any of that name) of WAV files of ``kind``."""
+    return _with_binary(docs, text, {media: lambda x: encode(x, kind)})
+
+
+def add_pcm(docs: DataFrame, media: str = "media", pcm: str = "pcm") -> DataFrame:
+    """``docs`` with a binary column ``pcm``: the files of ``media``, expanded and resampled to 16 kHz PCM."""
+    return _with_binary(docs, media, {pcm: to_pcm_wav})
+
+
+def _again(kind: int):
+    """The samples of a file, stored as samples of another format."""
+    return lambda media: encode(bytes(read_back(media)[2]), kind)
+
+
+#: Further stored forms of a file ``media``, by column.
+FORMS = {"alaw": _again(ALAW), "adpcm": _again(IMA_ADPCM), "pcm": to_pcm_wav}
+
+
+def stored(docs: DataFrame, media: str = "media") -> DataFrame:
+    """``docs`` with the payload of ``media`` as A-law and ADPCM files too, and with ``media`` as 16 kHz PCM (``pcm``)."""
+    return _with_binary(docs, media, FORMS)
 
 
 def _power(pcm: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -161,10 +187,13 @@ def _power(pcm: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.diff(total[bounds])
 
 
-def media_features(df: DataFrame, media: str = "media", keep: tuple[str, ...] = ("doc_id", "n_bytes")) -> DataFrame:
-    """Digests of the stored file and of its samples, and a feature string: root mean squares of the
-    samples as mu-law, as A-law and as ADPCM blocks, zero crossings, and CRC-32 of the resampled PCM."""
+def media_features(df: DataFrame, media: str = "media", alaw: str = "alaw", adpcm: str = "adpcm", pcm: str = "pcm", keep: tuple[str, ...] = ("doc_id", "n_bytes")) -> DataFrame:
+    """Digests of the stored file ``media`` and of its samples, and a feature string: root mean squares of the
+    samples of ``media``, ``alaw`` and ``adpcm`` (the same payload stored in the three formats), zero
+    crossings, and rate and CRC-32 of the samples stored in ``pcm``. Forms that are not there are stored first."""
     prepare(df.sparkSession)
+    if missing := {c: FORMS[n] for c, n in ((alaw, "alaw"), (adpcm, "adpcm"), (pcm, "pcm")) if c not in df.columns}:
+        df = _with_binary(df, media, missing)
     schema = ", ".join([f"{c} bigint" for c in keep] + ["payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"])
 
     def run(batches):
@@ -172,29 +201,31 @@ def media_features(df: DataFrame, media: str = "media", keep: tuple[str, ...] =
             raw = data.tobytes()
             files = [raw[a:b] for a, b in zip(offsets, offsets[1:])]
             parts = [read_back(f) for f in files]
-            bounds = np.r_[0, np.cumsum([len(p[2]) for p in parts])]
-            whole = np.frombuffer(b"".join(p[2] for p in parts), np.uint8)
-            mu, a = _MU[whole], _A[whole]
-            ima = decode_ima(whole.reshape(-1, BLOCK))
-            per = ima.shape[1]
-            powers = [_power(mu, bounds), _power(a, bounds), _power(ima.ravel(), bounds // BLOCK * per)]
+            others = [[read_back(f) for f in batch.column(batch.schema.get_field_index(c)).to_pylist()] for c in ("_alaw", "_adpcm", "_pcm")]
+            powers, bounds = [], []
+            for stored in (parts, *others[:2]):
+                samples = decode(b"".join(p[2] for p in stored), stored[0][0])
+                per = len(samples) / max(1, sum(len(p[2]) for p in stored))  # samples a byte: blocks are whole
+                cuts = (np.r_[0, np.cumsum([len(p[2]) for p in stored])] * per).round().astype(np.int64)
+                powers.append(_power(samples, cuts) / np.diff(cuts))
+                bounds.append((samples, cuts))
+            mu, cuts = bounds[0]
             sign = np.zeros(len(mu) + 1, np.int64)
             np.cumsum(np.r_[False, (mu[1:] < 0) != (mu[:-1] < 0)], out=sign[1:])
             rows = []
-            for i, (f, (_, _, samples)) in enumerate(zip(files, parts)):
-                x, y = bounds[i], bounds[i + 1]
-                n = int(y - x)
-                crc = zlib.crc32(resample(mu[x:y]).tobytes())
-                crossings = int(sign[y] - sign[x + 1])
-                rms = [round(float(np.sqrt(p[i] / m)), 3) for p, m in zip(powers, (n, n, n // BLOCK * per))]
-                rows.append((n, hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-BLOCK:]), len(f), hashlib.sha256(f).hexdigest(), f"mulaw_rms={rms[0]};alaw_rms={rms[1]};adpcm_rms={rms[2]};crossings={crossings};pcm16k_crc32={crc}"))
+            for i, (f, (_, _, samples), (_, rate, wide)) in enumerate(zip(files, parts, others[2])):
+                crossings = int(sign[cuts[i + 1]] - sign[cuts[i] + 1])
+                rms = [round(float(np.sqrt(p[i])), 3) for p in powers]
+                said = f"mulaw_rms={rms[0]};alaw_rms={rms[1]};adpcm_rms={rms[2]};crossings={crossings};pcm_rate={rate};pcm_crc32={zlib.crc32(wide)}"
+                rows.append((len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-BLOCK:]), len(f), hashlib.sha256(f).hexdigest(), said))
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
             yield pa.RecordBatch.from_arrays([*batch.select(list(keep)).columns, *(pa.array(list(c), k) for c, k in zip(zip(*rows), kinds))], names=[*keep, *names])
 
-    return df.select(*keep, F.col(media).alias("_body")).mapInArrow(run, schema)
+    columns = [F.col(c).alias(n) for c, n in ((media, "_body"), (alaw, "_alaw"), (adpcm, "_adpcm"), (pcm, "_pcm"))]
+    return df.select(*keep, *columns).mapInArrow(run, schema)
 
 
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.octet_length("text").cast("bigint"), F.lit(0).cast("bigint")).alias("n_bytes"), "text")
-    return media_features(add_media(docs))
+    return media_features(stored(add_media(docs)))
