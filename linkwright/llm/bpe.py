@@ -6,27 +6,30 @@ bytes; each round looks every adjacent pair up in a literal table of ranked merg
 row, the leftmost pair of lowest rank, until no row has a pair left. Decoding concatenates the
 tokens' bytes.
 
-A null text is an empty one (no tokens). Texts of any length, repeated rows and empty tables are
-ordinary; extra columns are ignored. No special tokens: their strings are ordinary text.
+A null text is an empty one (no tokens). A match of over ``LONG_WORD`` bytes is folded by itself in time n log n.
+Repeated rows and empty tables are ordinary; extra columns are ignored. No special tokens: their strings are ordinary text.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import prepare, slabs, table
 
 #: Words whose codes a worker remembers; the memory is emptied when it is full.
 REMEMBERED = 300_000
 
+#: Bytes of a word from which on it is folded by itself, with a heap of its pairs.
+LONG_WORD = 512
+
 _loaded: dict = {}
 
 
@@ -46,6 +49,7 @@ class Merges:
                 a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
                     pairs[a, b] = rank
+        self.pairs = pairs
         code = np.array([(a << 24) | b for a, b in pairs], np.int64)
         value = np.array(list(pairs.values()), np.int64)
         # open addressing over a power of two: one gather for most look-ups
@@ -90,7 +94,10 @@ class Merges:
         out: list = [None] * len(words)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         order = np.argsort(sizes, kind="stable")
-        at = 0
+        long_ = int(np.searchsorted(sizes[order], LONG_WORD))
+        for i in order[long_:].tolist():
+            out[i] = self._fold_long(words[i])
+        order, at = order[:long_], 0
         while at < len(order):  # rows of like width, so that padding stays small
             width = max(int(sizes[order[at]]) * 5 // 4, 8)
             end = int(np.searchsorted(sizes[order], width, side="right"))
@@ -100,6 +107,31 @@ class Merges:
             self._fold([words[i] for i in chosen], sizes[chosen], chosen, out)
         return out
 
+    def _fold_long(self, word: bytes) -> np.ndarray:
+        """The same for one long word: pairs wait in a heap by rank, then place; parts are a linked list."""
+        ids = self.byte_ids[np.frombuffer(word, np.uint8)].tolist()
+        n = len(ids)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        first = self.rank(np.array(ids[:-1], np.int64), np.array(ids[1:], np.int64)).tolist()
+        # an entry is stale if one of its parts has been joined since
+        heap = [(r, i, ids[i], ids[i + 1]) for i, r in enumerate(first) if r < 1 << 40]
+        heapq.heapify(heap)
+        while heap:
+            r, i, a, b = heapq.heappop(heap)
+            j = after[i]
+            if ids[i] != a or j >= n or ids[j] != b:
+                continue
+            ids[i], ids[j] = r, -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+            for x, y in ((before[i], i), (i, k)):
+                if x >= 0 and y < n:
+                    low = self.pairs.get((ids[x], ids[y]))
+                    if low is not None:
+                        heapq.heappush(heap, (low, x, ids[x], ids[y]))
+        return np.array([x for x in ids if x >= 0], np.int64)
+
     def _fold(self, words: list[bytes], sizes: np.ndarray, names: np.ndarray, out: list) -> None:
         n, width = len(words), int(sizes.max(initial=1))
         ids = np.full((n, width + 1), -1, np.int64)
@@ -217,28 +249,23 @@ def fold_in_sql(words: DataFrame, ranks: bytes, word: str = "word", buckets: int
         return F.when((F.size(parts) < 2) | F.coalesce(F.array_min(found).isNull(), F.lit(True)), parts).otherwise(joined)
 
     turns = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
-    folded = words.crossJoin(F.broadcast(literal)).withColumn("_parts", F.aggregate(turns, start, merge))
+    # a sequence from 1 to 0 counts down: an empty word has no parts
+    parts = F.when(F.octet_length(word) > 0, F.aggregate(turns, start, merge)).otherwise(F.array().cast("array<binary>"))
+    folded = words.crossJoin(F.broadcast(literal)).withColumn("_parts", parts)
     return folded.withColumn("ids", F.transform("_parts", rank)).drop("_parts", "_ranks")
 
 
 def decode(df: DataFrame, ranks: bytes, tokens: str = "tokens", out: str = "decoded") -> DataFrame:
-    """``df`` with the binary column ``out``: the tokens' pieces, concatenated by a literal array."""
-    pieces = {i: t for t, i in read_ranks(ranks).items()}
-    literal = F.array(*[F.lit(pieces.get(i, b"")) for i in range(max(pieces) + 1)]) if len(pieces) <= 1000 else None
-    if literal is not None:
-        return df.withColumn(out, F.aggregate(tokens, F.lit(b""), lambda a, t: F.concat(a, F.element_at(literal, t + 1))))
-    shared = df.sparkSession.sparkContext.broadcast(pieces)
-    df = df.drop(out)
-    schema = StructType([*df.schema.fields, StructField(out, BinaryType())])
-    columns = df.columns
+    """``df`` with the binary column ``out`` (in place of any of that name): the tokens' pieces, concatenated.
 
-    def run(batches):
-        known = shared.value
-        for batch in batches:
-            ids = batch.column(columns.index(tokens)).to_pylist()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([b"".join(known[i] for i in x or []) for x in ids], pa.binary())], names=[*columns, out])
-
-    return df.mapInArrow(run, schema)
+    The pieces are one literal array, by id; they are joined as hexadecimal digits, since Spark joins arrays
+    of strings in linear time. Null tokens give null, no tokens nothing; null and unknown ids have no piece."""
+    pieces = {i: t for t, i in read_ranks(ranks).items()}
+    spark = df.sparkSession
+    literal = spark.createDataFrame([([pieces.get(i, b"").hex().upper() for i in range(max(pieces) + 1)],)], "_pieces array<string>")
+    digits = F.transform(tokens, lambda t: F.when((t >= 0) & (t < F.size("_pieces")), F.get("_pieces", t)))
+    joined = df.drop(out).crossJoin(F.broadcast(literal))
+    return joined.withColumn(out, F.unhex(F.array_join(digits, ""))).drop("_pieces")
 
 
 def _public(name: str) -> tuple[bytes, str]:
