@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -101,11 +102,25 @@ def test_secrets(docs, none, corpus):
 
 
 def test_secret_ownership(spark):
-    key = "Zx9Qw3Er7Ty1Ui5Op2As4Df6"
-    text = [(1, f"use {key} here", "a"), (2, f"use {key} here", "b"), (3, "mine Kk1Jj2Hh3Gg4Ff5Dd6Ss7Aa8 ok", "a"), (4, "mine Kk1Jj2Hh3Gg4Ff5Dd6Ss7Aa8 ok", "a"), (5, None, None)]
-    docs = spark.createDataFrame([(i, t, "en", s) for i, t, s in text], "doc_id bigint, text string, lang string, source string")
+    """Examples: in three owners' texts, or in five repositories. A copied text counts once."""
+    example, own, spread = "Zx9Qw3Er7Ty1Ui5Op2As4Df6", "Kk1Jj2Hh3Gg4Ff5Dd6Ss7Aa8", "Pp0Oo9Ii8Uu7Yy6Tt5Rr4Ee3"
+    rows = [(1, f"use {example} here", "a", "en"), (2, f"now {example} here", "b", "en"), (3, f"and {example} here", "c", "en")]
+    rows += [(4, f"mine {own} ok", "a", "en"), (5, f"mine {own} ok", "b", "en"), (6, f"mine {own} ok", "c", "en"), (7, f"also {own} ok", "a", "en")]
+    rows += [(10 + i, f"{i} {spread} {i}", "a", lang) for i, lang in enumerate(["en", "de", "fr", "es", None])] + [(8, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
     got = {r["doc_id"]: (r["spans"], r["n_live"], r["n_example"]) for r in secrets.scan(docs).collect()}
-    assert got == {1: ("", 0, 1), 2: ("", 0, 1), 3: ("generic:5:29", 1, 0), 4: ("generic:5:29", 1, 0), 5: ("", 0, 0)}
+    want = {i: ("", 0, 1) for i in (1, 2, 3, 10, 11, 12, 13, 14)} | {i: ("generic:5:29", 1, 0) for i in (4, 5, 6, 7)} | {8: ("", 0, 0)}
+    assert got == want
+
+
+def test_many_secrets_in_one_text(spark):
+    """16,000 keys in one text: positions as by re, in time that follows their number."""
+    text = "é " + " ".join(f"{i:032x}" for i in range(16_000)) + " end"
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string").selectExpr("doc_id", "text", "'s' AS source", "'l' AS lang")
+    began = time.time()
+    (got,) = secrets.scan(docs).collect()
+    assert got["spans"] == ",".join(f"hex:{m.start()}:{m.end()}" for m in re.finditer("[0-9a-f]{24,}", text)) and got["n_hex"] == 16_000
+    assert time.time() - began < 20
 
 
 @pytest.mark.parametrize("block_bytes", [decontaminate.BLOCK_BYTES, 200])
@@ -222,6 +237,33 @@ def test_links_of_large_groups(spark, pair_limit):
         assert {i: got.get(i, i) for i in want} == {i: least[r] for i, r in want.items()}
 
 
+def test_long_matches_and_decoding(spark):
+    """One match of a megabyte; null, empty and unknown ids, for a vocabulary of any size."""
+    import tiktoken
+
+    ranks, pattern = bpe._public("byte_bpe_multi_50k.tiktoken")
+    known = tiktoken.Encoding("t", pat_str=pattern, mergeable_ranks=bpe.read_ranks(ranks), special_tokens={})
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("etaoinshrdlu") for _ in range(n)) for n in (100, 513, 5_000, 1_000_000)] + ["ab" * 3_000, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    began = time.time()
+    got = {r["doc_id"]: r["tokens"] for r in bpe.encode(docs, ranks, pattern).collect()}
+    assert time.time() - began < 60
+    # the library itself takes long over the longest one: its digest is checked by decoding
+    assert all(got[i] == known.encode_ordinary(t) for i, t in enumerate(texts) if len(t) < 10_000)
+    assert b"".join(known.decode_single_token_bytes(x) for x in got[3]).decode() == texts[3]
+    tokens = spark.createDataFrame([(1, got[1]), (2, []), (3, None), (4, [65, None, 10**6, 66])], "doc_id bigint, tokens array<int>")
+    small = b"\n".join(x for x in ranks.splitlines() if int(x.split()[1]) < 300)
+    for lines in (ranks, small):
+        pieces = {i: t for t, i in bpe.read_ranks(lines).items()}
+        for r in bpe.decode(tokens, lines).collect():
+            want = None if r["tokens"] is None else b"".join(pieces.get(x, b"") for x in r["tokens"])
+            assert r["decoded"] == want
+    words = spark.createDataFrame([(b"",), (b"a",), (b"hello",)], "word binary")
+    folded = {bytes(r["word"]): r["ids"] for r in bpe.fold_in_sql(words, ranks).collect()}
+    assert folded == {w: known.encode_ordinary(w.decode()) for w in folded}
+
+
 def test_near_copies(docs, none, corpus):
     kept = nearcopies.keep_one(docs)
     assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
@@ -349,3 +391,27 @@ def test_chat(spark):
         assert got[conv]["formatted_chars"] == len(made[conv]["formatted"])
     assert made[1]["formatted"].count(chat.START) == made[1]["formatted"].count(chat.END) == 3  # merged by role
     assert chat.report(df.limit(0)).count() == 0
+
+
+def test_media_features_by_plain_steps(docs, corpus):
+    """The feature string of every text, from the stored forms, sample by sample."""
+    from linkwright.llm.media import IMA_ADPCM, add_media, alaw_table, decode_ima, encode, mulaw_table, read_back, stored, to_pcm_wav
+
+    full = docs.select("doc_id", F.coalesce(F.octet_length("text").cast("bigint"), F.lit(0).cast("bigint")).alias("n_bytes"), "text")
+    expected = Counter()
+    for i, t in corpus:
+        p = list((t or "").encode())
+        p += [0] * (-len(p) % 64 if p else 64)
+        mu, a = [int(mulaw_table()[x]) for x in p], [int(alaw_table()[x]) for x in p]
+        ima = [int(x) for k in range(0, len(p), 64) for x in decode_ima(np.array([p[k : k + 64]], np.uint8))[0]]
+        wide = []
+        for x, y in zip(mu, mu[1:] + mu[-1:]):
+            wide += [x, (x + y) >> 1]
+        crc = zlib.crc32(b"".join(x.to_bytes(2, "little", signed=True) for x in wide))
+        rms = [round(math.sqrt(sum(x * x for x in s) / len(s)), 3) for s in (mu, a, ima)]
+        crossings = sum((x < 0) != (y < 0) for x, y in zip(mu, mu[1:]))
+        expected[i, f"mulaw_rms={rms[0]};alaw_rms={rms[1]};adpcm_rms={rms[2]};crossings={crossings};pcm_rate=16000;pcm_crc32={crc}"] += 1
+    assert rows_of(media.media_features(add_media(full)), "doc_id", "feature") == expected
+    kept = stored(add_media(full)).where("doc_id = 91").first()
+    assert bytes(kept["pcm"]) == to_pcm_wav(bytes(kept["media"])) and read_back(bytes(kept["adpcm"]))[0] == IMA_ADPCM
+    assert bytes(read_back(bytes(kept["alaw"]))[2]) == bytes(read_back(encode(kept["text"].encode()))[2])
