@@ -79,6 +79,17 @@ def _unicode_form(c: Column) -> Column:
     return F.pandas_udf(_forms, "string")(c)
 
 
+def _decomposed(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode(), na_action="ignore")
+
+
+def ascii_letters(c) -> Column:
+    """A column with letters decomposed and what is not ASCII then left out. Only texts that are not
+    ASCII reach the Arrow UDF with a value."""
+    plain = F.coalesce(_col(c), F.lit("")).rlike(r"^[\x00-\x7F]*$")
+    return F.when(plain, _col(c)).otherwise(F.pandas_udf(_decomposed, "string")(F.when(~plain, _col(c))))
+
+
 def ascii_form(c) -> Column:
     """``normal_form`` for ASCII text, with built-in functions only."""
     t = F.replace(F.lower(F.coalesce(_col(c), F.lit(""))), F.lit("&"), F.lit(" and "))

@@ -12,25 +12,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity as S
+from ..functions import text as T
 
 # Words that do not tell companies apart.
-COMMON_WORDS = "inc corp corporation llc ltd limited pvt private sarl sa sas gmbh co company services solutions enterprises trading technologies group the and de la du des les en null none of in for at".split()
-US_STATES = "AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY DC".split()
+COMMON_WORDS = (
+    "inc", "corp", "corporation", "llc", "ltd", "limited", "pvt", "private", "sarl", "sa", "sas", "gmbh", "co", "company", "services", "solutions", "enterprises", "trading", "technologies", "group",
+    "the", "and", "de", "la", "du", "des", "les", "en", "null", "none", "of", "in", "for", "at",
+)
+# The codes of the states of the USA, and of DC.
+US_STATES = (
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS", "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ", "NM", "NY", "NC",
+    "ND", "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY", "DC",
+)
+# Names of Indian states without blanks.
 INDIAN_STATES = (
-    "maharashtra delhi karnataka tamilnadu uttarpradesh gujarat westbengal rajasthan telangana andhrapradesh kerala madhyapradesh punjab haryana bihar odisha orissa assam jharkhand "
-    "chhattisgarh uttarakhand goa himachalpradesh chandigarh puducherry jammuandkashmir"
-).split()
+    "maharashtra", "delhi", "karnataka", "tamilnadu", "uttarpradesh", "gujarat", "westbengal", "rajasthan", "telangana", "andhrapradesh", "kerala", "madhyapradesh", "punjab", "haryana", "bihar", "odisha",
+    "orissa", "assam", "jharkhand", "chhattisgarh", "uttarakhand", "goa", "himachalpradesh", "chandigarh", "puducherry", "jammuandkashmir",
+)
+# Fixed pattern: web and courtesy parts of names.
+NOISE = r"(@|www\.|\.com|\.in|\.fr|\.org|\.net|\bthe\b|\bmr\b|\bmrs\b|\bms\b)"
 
 
 def tokens(name: Column, least: int) -> Column:
     found = F.regexp_extract_all(F.lower(name), F.lit("[a-z0-9]+"), F.lit(0))
-    return F.filter(found, lambda w: (F.length(w) >= least) & ~w.isin(COMMON_WORDS))
+    return F.filter(found, lambda w: (F.length(w) >= least) & ~w.isin(*COMMON_WORDS))
 
 
 def plain(name: Column) -> Column:
-    """Lower case without web and courtesy parts (ASCII; other letters are dropped)."""
-    t = F.lower(F.regexp_replace(name, r"[^\x00-\x7F]", ""))
-    return F.regexp_replace(t, r"(@|www\.|\.com|\.in|\.fr|\.org|\.net|\bthe\b|\bmr\b|\bmrs\b|\bms\b)", " ")
+    """Lower case without web and courtesy parts, in ASCII: letters lose their marks, other ones go."""
+    return F.regexp_replace(F.lower(T.ascii_letters(name)), NOISE, " ")
 
 
 def number(address: Column, strip: bool) -> Column:
@@ -39,7 +49,7 @@ def number(address: Column, strip: bool) -> Column:
 
 
 def state(address: Column, country: Column) -> Column:
-    codes = F.filter(F.regexp_extract_all(F.upper(address), F.lit(r"\b[A-Z]{2}\b"), F.lit(0)), lambda c: c.isin(US_STATES))
+    codes = F.filter(F.regexp_extract_all(F.upper(address), F.lit(r"\b[A-Z]{2}\b"), F.lit(0)), lambda c: c.isin(*US_STATES))
     squeezed = F.regexp_replace(F.lower(address), "[ .,]", "")
     india = F.coalesce(*[F.when(F.contains(squeezed, F.lit(s)), s) for s in sorted(INDIAN_STATES, key=lambda s: (-len(s), s))], F.lit(""))
     france = F.regexp_extract(F.upper(address), r"\b(0[1-9]|[1-8][0-9]|9[0-8]|2A|2B)\b", 1)
