@@ -271,3 +271,23 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL = r"""
+WITH b AS (
+  SELECT item_id, w, least(10, len(w)) AS n
+  FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark)
+  WHERE len(w) > 0),
+k AS (SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS t FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b)),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+p AS (
+  SELECT rid, n, i, array_to_string(w[i : i + n - 1], ' ') AS t
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM k) WHERE len(w) >= n)),
+h AS (SELECT p.rid, p.i, p.n, k.item_id FROM p JOIN k ON p.n = k.n AND p.t = k.t),
+hw AS (SELECT rid, count(DISTINCT x) AS c FROM (SELECT rid, unnest(range(i, i + n)) AS x FROM h) GROUP BY rid),
+hi AS (SELECT rid, count(DISTINCT item_id) AS c, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS s FROM h GROUP BY rid)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(hw.c, 0) AS n_hit, coalesce(hi.c, 0) AS n_items, sha256(coalesce(hi.s, '')) AS items_sha256, coalesce(hw.c, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw USING (rid) LEFT JOIN hi USING (rid)
+"""

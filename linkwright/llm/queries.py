@@ -17,6 +17,8 @@ QUERIES = {
 
 ORACLES = {
     "op1_chat": chat.SQL,
+    "op3_secrets": secrets.SQL,
+    "op4_decontaminate": decontaminate.SQL,
     "op7_lm": lm.SQL,
     "op9_lines": lines.SQL,
 }

@@ -126,3 +126,32 @@ def scan(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REP
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
+
+
+def _found(order: int, kind: str, pattern: str) -> str:
+    quoted = pattern.replace("'", "''")
+    return f"SELECT rid, {order} AS o, '{kind}' AS kind, regexp_extract_all(t, '{quoted}') AS f, string_split_regex(t, '{quoted}') AS g FROM d"
+
+
+SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner, coalesce(source, '') || '/' || coalesce(lang, '') AS repo FROM documents),
+m AS (
+  SELECT rid, o, kind, unnest(f) AS found, unnest(g[1 : len(f)]) AS gap, generate_subscripts(f, 1) AS j
+  FROM ({" UNION ALL ".join(_found(i, k, p) for i, (k, p) in enumerate((("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("generic", GENERIC))))}) WHERE len(f) > 0),
+e AS (SELECT *, CAST(sum(length(gap) + length(found)) OVER (PARTITION BY rid, o ORDER BY j) AS BIGINT) AS z FROM m),
+x AS (SELECT rid, o, kind, found, z - length(found) AS a, z, CASE WHEN o = 0 THEN regexp_extract(found, '{ASSIGN.replace("'", "''")}', 1) ELSE found END AS v FROM e),
+base AS (SELECT * FROM x WHERE o IN (1, 2) OR (o = 0 AND length(v) >= 6)),
+generic AS (
+  SELECT * FROM x WHERE o = 3 AND regexp_matches(found, '[a-z]') AND regexp_matches(found, '[A-Z]') AND regexp_matches(found, '[0-9]')
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = x.rid AND b.a < x.z AND x.a < b.z)),
+every AS (SELECT * FROM base UNION ALL SELECT * FROM generic),
+own AS (SELECT v, t, min(struct_pack(repo := repo, owner := owner)) AS r FROM every JOIN d USING (rid) GROUP BY v, t),
+counts AS (SELECT v, count(DISTINCT r.repo) AS repos, count(DISTINCT r.owner) AS owners FROM own GROUP BY v),
+j AS (SELECT every.*, owners <= {MAX_OWNERS} AND repos <= {MAX_REPOS} AS live, kind || ':' || a || ':' || z AS s FROM every JOIN counts USING (v))
+SELECT d.doc_id, count(*) FILTER (WHERE o = 0) AS n_assign, count(*) FILTER (WHERE o = 1) AS n_access, count(*) FILTER (WHERE o = 2) AS n_hex,
+  sha256(coalesce(string_agg(s, ',' ORDER BY a, o) FILTER (WHERE o < 3), '')) AS base_sha256,
+  coalesce(string_agg(s, ',' ORDER BY a, o) FILTER (WHERE o < 3 OR live), '') AS spans,
+  count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_example
+FROM d LEFT JOIN j USING (rid) GROUP BY d.rid, d.doc_id
+"""
