@@ -185,7 +185,7 @@ def rule_scores(spark, sf_dir):
 @query
 def hard_negatives(spark, sf_dir):
     rows = files.cut(featured(spark, sf_dir).select("source1_id", "target_source", "target_id", *[F.round(n, 6).alias(n) for n in features.FEATURES]))
-    return model.mine(rows, truth(spark, sf_dir), ratio=2.0).select("source1_id", "target_source", "target_id", "label")
+    return model.mine(rows, truth(spark, sf_dir)).select("source1_id", "target_source", "target_id", "label")
 
 
 @query
@@ -286,6 +286,13 @@ def output_integrity(spark, sf_dir):
     return sinks.integrity(found, decide.unique_targets(pairs), raw(spark, sf_dir, "source1"), targets, 60)
 
 
+@query
+def evaluation_rates(spark, sf_dir):
+    found = files.cut(candidates(spark, sf_dir))
+    pairs = found.select("source1_id", "target_source", "target_id", F.col("blocking_score").alias("confidence"))
+    return metrics.rates(truth(spark, sf_dir), found, decide.resolve(pairs, 0.6, {s: "one_to_many" for s in SOURCES[1:]}), entities(spark, sf_dir))
+
+
 @query
 def keyed_match_simple(spark, sf_dir):
     return _keyed(spark, sf_dir, "simple")
@@ -318,7 +325,7 @@ def rf_scores(spark, sf_dir):
     rows = files.cut(featured(spark, sf_dir))
     split = files.cut(model.hold_out(raw(spark, sf_dir, "source1").select("id")).withColumnRenamed("id", "source1_id"))
     fit_rows, rest = rows.join(split.where("not validation"), "source1_id", "left_semi"), rows.join(split.where("validation"), "source1_id", "left_semi")
-    fitted = model.fit(files.cut(model.mine(fit_rows, truth(spark, sf_dir), ratio=3.0)), trees=40, depth=8)
+    fitted = model.fit(files.cut(model.mine(fit_rows, truth(spark, sf_dir))))
     return model.score(fitted, rest).select("source1_id", "target_source", "target_id", F.round("confidence", 6).alias("confidence"), "rule_applied", "decision_reason")
 
 

@@ -276,7 +276,7 @@ SELECT count(*) AS total_candidates, count(*) FILTER (WHERE list_contains(blocki
     "pair_features": f"WITH {FEATS} SELECT * FROM feats",
     "rule_scores": f"""WITH {FEATS} SELECT source1_id, target_source, target_id, CASE WHEN is_chain = 0 AND name_exact = 1 AND postal_exact = 1 AND country_exact = 1 AND street_number_exact = 1 THEN 'exact_name_postal_number_country' WHEN is_chain = 0 AND brand_exact = 1 AND street_number_exact = 1 AND street_name_similarity >= 0.82 AND country_exact = 1 THEN 'exact_brand_street_address_country' ELSE '' END AS rule_applied FROM feats""",
     "hard_negatives": f"""WITH {FEATS}, {TRUTH}, lab AS (SELECT f.source1_id, f.target_source, f.target_id, CASE WHEN t.source1_id IS NULL THEN 0 ELSE 1 END AS label, round(0.35 * name_edit_similarity + 0.25 * name_token_set_ratio + 0.2 * postal_exact + 0.2 * blocking_score, 9) AS difficulty FROM feats f LEFT JOIN truth t USING (source1_id, target_source, target_id))
-SELECT source1_id, target_source, target_id, label FROM lab WHERE label = 1 UNION ALL SELECT source1_id, target_source, target_id, label FROM (SELECT *, row_number() OVER (ORDER BY difficulty DESC, source1_id, target_source, target_id) AS rn FROM lab WHERE label = 0) WHERE rn <= greatest((SELECT 2 * count(*) FROM lab WHERE label = 1), 50)""",
+SELECT source1_id, target_source, target_id, label FROM lab WHERE label = 1 UNION ALL SELECT source1_id, target_source, target_id, label FROM (SELECT *, row_number() OVER (ORDER BY difficulty DESC, source1_id, target_source, target_id) AS rn FROM lab WHERE label = 0) WHERE rn <= greatest((SELECT 10 * count(*) FROM lab WHERE label = 1), 50)""",
     "chain_brands": f"WITH {PREPARED} SELECT brand_name, count(*) AS n FROM {ALL_P} WHERE brand_name <> '' GROUP BY 1 HAVING count(*) >= 3",
     "truth_normalize": f"WITH {CTES}, {TRUTH} SELECT * FROM truth",
     "cardinality_infer": f"""WITH {CTES}, g AS (SELECT a.id AS source1_id, 'source2' AS target_source, b.id AS target_id FROM source1 a JOIN source2 b ON a.business_name = lower(replace(b.business_name, ' LIMITED', '')) || ' Ltd' UNION ALL SELECT a.id, 'source3', b.id FROM source1 a JOIN source3 b ON a.k = b.k)
@@ -291,6 +291,30 @@ SELECT s AS target_source, CASE WHEN coalesce(x, false) AND coalesce(y, false) T
 UNION ALL SELECT 'candidates_by_country', CASE WHEN source1_country = '' THEN '(missing)' ELSE source1_country END, count(*) FROM cands GROUP BY 2 UNION ALL SELECT 'candidates_by_method', m, count(*) FROM (SELECT unnest(blocking_methods) AS m FROM cands) GROUP BY 2""",
     "submission_matches": f"WITH {CANDIDATES}, {MATCHED} SELECT s.id AS source1_entity_id, coalesce((SELECT string_agg(DISTINCT target_id, ',' ORDER BY target_id) FROM matched m WHERE m.source1_id = s.id), '') AS matched_entity_ids FROM source1 s",
     "submission_candidates": f"WITH {CANDIDATES} SELECT s.id AS source1_entity_id, coalesce((SELECT string_agg(DISTINCT target_id, ',' ORDER BY target_id) FROM cands m WHERE m.source1_id = s.id), '') AS candidate_entity_ids FROM source1 s",
+    "submission_validate": f"""WITH {CANDIDATES}, won AS ({WINNER.format('target_id')}),
+m AS (SELECT s.id AS s1, (SELECT string_agg(DISTINCT target_id, ',' ORDER BY target_id) FROM won w WHERE w.source1_id = s.id) AS ids FROM source1 s),
+i AS (SELECT s1, unnest(string_split(ids, ',')) AS i FROM m WHERE ids IS NOT NULL),
+f AS (SELECT 'duplicate_row' AS finding, s1 AS x FROM m GROUP BY s1 HAVING count(*) > 1
+UNION ALL SELECT 'repeated_in_list', s1 FROM i GROUP BY s1, i HAVING count(*) > 1
+UNION ALL SELECT 'source1_in_list', i FROM i WHERE starts_with(i, 'S1-')
+UNION ALL SELECT 'wrong_prefix', i FROM i WHERE NOT regexp_matches(i, '^S[123]-')
+UNION ALL SELECT 'unknown_id', i FROM i WHERE regexp_matches(i, '^S[23]-') AND i NOT IN (SELECT id FROM source2 UNION ALL SELECT id FROM source3)
+UNION ALL SELECT 'missing_entity', id FROM source1 WHERE id NOT IN (SELECT s1 FROM m)
+UNION ALL SELECT 'extra_entity', s1 FROM m WHERE s1 NOT IN (SELECT id FROM source1)
+UNION ALL SELECT 'not_a_candidate', s1 FROM i WHERE (s1, i) NOT IN (SELECT (source1_id, target_id) FROM cands))
+SELECT n.finding, count(DISTINCT f.x) AS n, coalesce(array_to_string(list_sort(list(DISTINCT f.x) FILTER (WHERE f.x IS NOT NULL))[1:5], ','), '') AS examples
+FROM (SELECT unnest(['duplicate_row', 'repeated_in_list', 'source1_in_list', 'wrong_prefix', 'unknown_id', 'missing_entity', 'extra_entity', 'not_a_candidate']) AS finding) n LEFT JOIN f USING (finding) GROUP BY n.finding""",
+    "output_integrity": f"""WITH {CANDIDATES}, won AS ({WINNER.format('target_id')})
+SELECT (SELECT count(*) FROM (SELECT 1 FROM cands GROUP BY source1_id, target_source, target_id HAVING count(*) > 1)) AS duplicate_candidates,
+  (SELECT count(*) FROM (SELECT 1 FROM won GROUP BY source1_id, target_source, target_id HAVING count(*) > 1)) AS duplicate_matches,
+  (SELECT count(*) FROM (SELECT 1 FROM cands GROUP BY source1_id HAVING count(*) > 60)) AS over_cap,
+  (SELECT count(*) FROM won ANTI JOIN cands USING (source1_id, target_source, target_id)) AS matches_not_candidates,
+  (SELECT count(*) FROM cands WHERE source1_id NOT IN (SELECT id FROM source1)) AS unknown_source1,
+  (SELECT count(*) FROM cands WHERE target_id NOT IN (SELECT id FROM source2 UNION ALL SELECT id FROM source3)) AS unknown_target""",
+    "evaluation_rates": f"""WITH {CANDIDATES}, {TRUTH}, {MATCHED},
+n AS (SELECT (SELECT count(*) FROM truth) AS t, (SELECT count(*) FROM truth SEMI JOIN cands USING (source1_id, target_source, target_id)) AS found, (SELECT count(*) FROM cands) AS c, (SELECT count(*) FROM matched) AS p,
+  (SELECT count(*) FROM matched ANTI JOIN truth USING (source1_id, target_source, target_id)) AS wrong, (SELECT count(*) FROM source1) AS e, (SELECT count(*) FROM source1 WHERE id NOT IN (SELECT source1_id FROM matched)) AS alone)
+SELECT CASE WHEN t = 0 THEN 1.0::DOUBLE ELSE round(found / t, 6) END AS candidate_recall, round(wrong / greatest(c, 1), 6) AS false_positive_rate, round(wrong / greatest(p, 1), 6) AS false_merge_rate, round(alone / greatest(e, 1), 6) AS unmatched_rate, alone AS unmatched_entities, c AS candidate_count, round(c / greatest(e, 1), 6) AS average_candidates_per_source1 FROM n""",
     "keyed_match_simple": _keyed("simple"),
     "keyed_match_strict": _keyed("strict"),
     "schema_summary": f"WITH {CTES} " + " UNION ALL ".join(f"SELECT '{s}' AS source, count(*) AS n_rows, count(*) FILTER (WHERE business_name = '') AS missing_business_name, count(*) FILTER (WHERE business_address = '') AS missing_business_address, count(*) FILTER (WHERE postal_code = '') AS missing_postal_code, count(*) FILTER (WHERE country = '') AS missing_country FROM {s}" for s in ("source1", "source2", "source3")),
