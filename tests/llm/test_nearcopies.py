@@ -88,6 +88,16 @@ def test_crowds_are_grouped_as_by_brute_force(spark, crowd, levels):
     assert all(pairs <= rows * max(crowd / 2, nearcopies.HUBS) for rows, pairs in tell[:levels])
 
 
+@pytest.mark.parametrize("sent", [0, 100_000])
+def test_hot_hubs_meet_their_edges_however_many_they_are(spark, monkeypatch, sent):
+    """The same verdicts whether hubs of several parts are broadcast or joined."""
+    monkeypatch.setattr(nearcopies, "SENT_HUBS", sent)
+    sketches = spark.createDataFrame([(i, list(range(100)) if i % 2 else list(range(50, 150))) for i in range(40)], "th bigint, sketch array<bigint>")
+    edges = spark.createDataFrame([(h, i) for h in (0, 1) for i in range(2, 40)], "hub bigint, th bigint")
+    got = nearcopies._verified(edges, sketches, nearcopies.whole(0.8), 5).collect()
+    assert sorted((r["hub"], r["th"]) for r in got) == [(h, i) for h in (0, 1) for i in range(2, 40) if i % 2 == h]
+
+
 def test_no_nodes_no_groups(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, extra string")
     assert nearcopies.keep_one(docs).collect() == []
