@@ -22,8 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import prepare, slabs, table
+from .common import prepare, release, slabs, table
 
+#: Bytes of stored files that a worker handles at once: samples and sums of squares take up to 50 times as much.
+RUN_BYTES = 256 << 10
+#: Rows of one Arrow batch: a row's five forms together are eight times its text.
+BATCH_ROWS = 64
 BLOCK = 64
 RATE = 8000
 MULAW, ALAW, IMA_ADPCM, PCM = 7, 6, 0x11, 1
@@ -140,18 +144,19 @@ def to_pcm_wav(media: bytes) -> bytes:
 
 def _with_binary(docs: DataFrame, source: str, made: dict) -> DataFrame:
     """``docs`` with binary columns (in place of any of their names): each of ``made`` is a function of the bytes of ``source``."""
-    prepare(docs.sparkSession)
+    prepare(docs.sparkSession, BATCH_ROWS)
     kept = docs.drop(*made)
     columns = kept.columns
     schema = StructType([*kept.schema.fields, *(StructField(c, BinaryType()) for c in made)])
     body = "_" * (1 + max(map(len, docs.columns))) + "body"  # longer than any column's name
 
     def run(batches):
-        for batch, data, offsets in slabs(batches, body):
+        for batch, data, offsets in slabs(batches, body, RUN_BYTES):
             raw = data.tobytes()
             parts = [raw[a:b] for a, b in zip(offsets, offsets[1:])]
             files = [pa.array([f(x) for x in parts], pa.binary()) for f in made.values()]
             yield pa.RecordBatch.from_arrays([*batch.select(columns).columns, *files], names=[*columns, *made])
+        release()
 
     return docs.withColumn(body, F.col(source).cast("binary")).select(*columns, body).mapInArrow(run, schema)
 
@@ -180,6 +185,11 @@ def stored(docs: DataFrame, media: str = "media") -> DataFrame:
     return _with_binary(docs, media, FORMS)
 
 
+def add_forms(docs: DataFrame, text: str = "text", media: str = "media") -> DataFrame:
+    """``stored(add_media(docs))``, all columns made by one worker."""
+    return _with_binary(docs, text, {media: encode, **{c: lambda x, f=f: f(encode(x)) for c, f in FORMS.items()}})
+
+
 def _power(pcm: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sum of squares for each run of samples."""
     total = np.zeros(len(pcm) + 1, np.int64)
@@ -191,13 +201,13 @@ def media_features(df: DataFrame, media: str = "media", alaw: str = "alaw", adpc
     """Digests of the stored file ``media`` and of its samples, and a feature string: root mean squares of the
     samples of ``media``, ``alaw`` and ``adpcm`` (the same payload stored in the three formats), zero
     crossings, and rate and CRC-32 of the samples stored in ``pcm``. Forms that are not there are stored first."""
-    prepare(df.sparkSession)
+    prepare(df.sparkSession, BATCH_ROWS)
     if missing := {c: FORMS[n] for c, n in ((alaw, "alaw"), (adpcm, "adpcm"), (pcm, "pcm")) if c not in df.columns}:
         df = _with_binary(df, media, missing)
     schema = ", ".join([f"{c} bigint" for c in keep] + ["payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"])
 
     def run(batches):
-        for batch, data, offsets in slabs(batches, "_body"):
+        for batch, data, offsets in slabs(batches, "_body", RUN_BYTES):
             raw = data.tobytes()
             files = [raw[a:b] for a, b in zip(offsets, offsets[1:])]
             parts = [read_back(f) for f in files]
@@ -221,6 +231,7 @@ def media_features(df: DataFrame, media: str = "media", alaw: str = "alaw", adpc
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
             yield pa.RecordBatch.from_arrays([*batch.select(list(keep)).columns, *(pa.array(list(c), k) for c, k in zip(zip(*rows), kinds))], names=[*keep, *names])
+        release()
 
     columns = [F.col(c).alias(n) for c, n in ((media, "_body"), (alaw, "_alaw"), (adpcm, "_adpcm"), (pcm, "_pcm"))]
     return df.select(*keep, *columns).mapInArrow(run, schema)
@@ -228,4 +239,4 @@ def media_features(df: DataFrame, media: str = "media", alaw: str = "alaw", adpc
 
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.octet_length("text").cast("bigint"), F.lit(0).cast("bigint")).alias("n_bytes"), "text")
-    return media_features(stored(add_media(docs)))
+    return media_features(add_forms(docs))
