@@ -1,9 +1,10 @@
 """Near-dedup at a stated similarity: one document of each group stays.
 
-The 64-bit fingerprints of ``simhash`` find texts that differ in a few bits; on five-word shingles,
-texts at a similarity (Jaccard, of shingle sets) of 0.8 differ in 9 bits on average and in up to 14,
-which no split into blocks can serve; and a fingerprint counts repeats, so texts of equal shingle sets
-may differ in half its bits. So candidates come from blocks of a longer fingerprint: distinct shingles'
+First come the links of ``simhash``: 64-bit fingerprints within two bits, each verified by the shingle
+sets (below). On five-word shingles, texts at a similarity (Jaccard, of shingle sets) of 0.8 differ in 9
+bits on average and in up to 14, which no split into blocks can serve; and a fingerprint counts repeats,
+so texts of equal shingle sets may differ in half its bits. So candidates of nodes that are not yet in one
+group come from blocks of a longer fingerprint too: distinct shingles'
 hashes are dealt into ``BINS`` bins by their leading bits, each bin keeps its least hash, and blocks of
 ``ROWS`` bins are the join keys (texts at 0.8 share one with a chance of 0.998). All candidates whose
 numbers of distinct shingles allow it are verified: by the whole shingle sets up to ``SKETCH`` distinct
@@ -31,11 +32,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, mix, prepare, shielded, slabs
-from .simhash import components, shingle_hashes
+from .simhash import components, fold, links, shingle_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -88,9 +89,10 @@ def _signatures(docs: DataFrame, size: int) -> DataFrame:
             sets = [np.unique(p) for p in parts]
             bands = [_bands(p) if len(p) else np.zeros(0, np.int64) for p in sets]
             sizes = pa.array([len(p) for p in sets], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sizes, pa.array(bands, pa.list_(pa.int64()))], names=["id", "th", "n", "bands"])
+            fp = pa.array(fold(hashes, counts).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sizes, fp, pa.array(bands, pa.list_(pa.int64()))], names=["id", "th", "n", "fp", "bands"])
 
-    return docs.select("_id", "_th", F.col("text").cast("binary").alias("body")).mapInArrow(run, "id bigint, th bigint, n int, bands array<bigint>")
+    return docs.select("_id", "_th", F.col("text").cast("binary").alias("body")).mapInArrow(run, "id bigint, th bigint, n int, fp bigint, bands array<bigint>")
 
 
 def _sketches(docs: DataFrame, size: int, most: int | None) -> DataFrame:
@@ -147,8 +149,9 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 def _shared(keys: DataFrame) -> DataFrame:
     """``keys`` (k, v, th, n, root) of blocks that hold nodes of different groups, with c, their number of nodes."""
-    tally = keys.groupBy("k", "v").agg(F.count("*").alias("c"), F.min("root").alias("one"), F.max("root").alias("other"))
-    return keys.join(tally.where("one <> other").select("k", "v", "c"), ["k", "v"])
+    block = Window.partitionBy("k", "v")
+    counted = keys.withColumns({"c": F.count("*").over(block), "_one": F.min("root").over(block), "_other": F.max("root").over(block)})
+    return counted.where("_one <> _other").drop("_one", "_other")
 
 
 def _met(few: DataFrame, least: float) -> DataFrame:
@@ -223,6 +226,21 @@ def _settled(judged: DataFrame, known: DataFrame, size: int, least: float) -> Da
     return sure.unionByName(cut(_verified(unsure, sets, whole(least), WHOLE_ROWS).select("hub", "th")))
 
 
+def _by_fingerprint(nodes: DataFrame, known: DataFrame, size: int, least: float, margin: float) -> DataFrame | None:
+    """node, root: groups of the nodes (th, n, fp) whose SimHash fingerprints are linked and whose shingle sets are
+    as similar as ``least``; None if there are none. Texts without words have no fingerprint here."""
+    worded = nodes.where("n > 0").select("th", "fp")
+    prints = cut(worded.groupBy("fp").agg(F.min("th").alias("node"), F.count("*").alias("c")))
+    near = links(prints.select("node", "fp")).select(F.col("a").alias("hub"), F.col("b").alias("th"))
+    same = worded.join(prints.where("c > 1"), "fp").where("th <> node").select(F.col("node").alias("hub"), "th")
+    edges = cut(near.unionByName(same))
+    if edges.isEmpty():
+        return None
+    sketches = cut(_sketched(known, edges.select(F.explode(F.array("hub", "th")).alias("_th")).distinct(), size, SKETCH))
+    judged = cut(_verified(edges, sketches, similar(least, margin)))
+    return components(_settled(judged, known, size, least).select(F.col("hub").alias("a"), F.col("th").alias("b")))
+
+
 def groups(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, margin: float = MARGIN, crowd: int = CROWD, levels: int = LEVELS, tell: list | None = None) -> DataFrame:
     """_id, _th, root: the group of each row of ``docs``. ``margin``: estimates by sketches this close to
     ``least`` are verified by whole shingle sets. ``tell``: gets
@@ -230,10 +248,11 @@ def groups(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, marg
     prepare(docs.sparkSession)
     known = _identified(docs)
     signed = cut(_signatures(known, size))
-    nodes = signed.groupBy("th").agg(*(F.first(c).alias(c) for c in ("n", "bands")))
+    nodes = cut(signed.groupBy("th").agg(*(F.first(c).alias(c) for c in ("n", "fp", "bands"))))
     pairs = signed.select(F.col("id").alias("_id"), F.col("th").alias("_th"))
-    keys = nodes.select("th", "n", F.col("th").alias("root"), F.posexplode("bands").alias("k", "v"))
-    roots, sketches = None, None
+    roots, sketches = _by_fingerprint(nodes, known, size, least, margin), None
+    rooted = nodes.withColumn("root", F.col("th")) if roots is None else nodes.join(roots.withColumnRenamed("node", "th"), "th", "left").withColumn("root", F.coalesce("root", "th"))
+    keys = rooted.select("th", "n", "root", F.posexplode("bands").alias("k", "v"))
     for level in range(levels + 1):
         open_ = cut(_shared(keys))
         if open_.isEmpty():
