@@ -162,16 +162,26 @@ def _met(few: DataFrame, least: float) -> DataFrame:
     return met.select(F.col("hub_th").alias("hub"), "th").distinct()
 
 
-def _met_hubs(crowded: DataFrame, hubs: DataFrame, least: float) -> DataFrame:
-    """hub, th: nodes of ``crowded`` and the ``hubs`` of their blocks, of different groups and of sizes that
-    allow ``least``. A block's hubs (at most ``HUBS``) come as one list and a node's lists are united before rows
-    are made of them: crowded blocks of a node have much the same hubs."""
-    lists = hubs.groupBy("k", "v").agg(F.collect_list(F.struct("th", "n", "root")).alias("hubs"))
-    fits = lambda h: (h["root"] != F.col("root")) & (h["th"] != F.col("th")) & (F.least("n", h["n"]) >= F.greatest("n", h["n"]) * F.lit(least))
-    met = crowded.join(lists, ["k", "v"]).select("th", F.filter("hubs", fits)["th"].alias("hubs"))
+def _met_lists(rows: DataFrame, others: DataFrame, least: float, fits) -> DataFrame:
+    """hub, th: nodes of ``rows`` and those of ``others`` in their blocks, of different groups and of sizes that allow
+    ``least``, if ``fits`` (of the other's th). A block's others, of which there are few, come as one list and a node's lists
+    are united before rows are made of them: nodes that share one block often share several."""
+    lists = others.groupBy("k", "v").agg(F.collect_list(F.struct("th", "n", "root")).alias("hubs"))
+    good = lambda h: (h["root"] != F.col("root")) & fits(h["th"]) & (F.least("n", h["n"]) >= F.greatest("n", h["n"]) * F.lit(least))
+    met = rows.join(lists, ["k", "v"]).select("th", F.filter("hubs", good)["th"].alias("hubs")).where(F.size("hubs") > 0)
     return met.groupBy("th").agg(F.array_distinct(F.flatten(F.collect_list("hubs"))).alias("hubs")).select(F.explode("hubs").alias("hub"), "th")
 
 
+def _met_few(few: DataFrame, least: float) -> DataFrame:
+    """As ``_met``, for blocks of a bounded number of nodes: each pair is made once, in however many blocks it meets."""
+    return _met_lists(few, few, least, lambda th: th < F.col("th"))
+
+
+def _met_hubs(crowded: DataFrame, hubs: DataFrame, least: float) -> DataFrame:
+    """hub, th: nodes of ``crowded`` and the ``hubs`` of their blocks (at most ``HUBS`` each)."""
+    return _met_lists(crowded, hubs, least, lambda th: th != F.col("th"))
+
+
 def _hubs(crowded: DataFrame) -> DataFrame:
     """k, v, p (how crowded all its blocks are), th, n, root: the foremost node of each of ``HUBS`` parts of each block."""
     part = F.pmod(F.xxhash64("th"), F.lit(HUBS))
@@ -261,7 +271,8 @@ def groups(docs: DataFrame, size: int = SHINGLE, least: float = SIMILARITY, marg
             sketches = cut(_sketched(known, open_.select(F.col("th").alias("_th")).distinct(), size, SKETCH))
         most = crowd if level == 0 else 4 * crowd
         few = open_ if level == levels else open_.where(F.col("c") <= most)
-        met = _met(few, least)
+        # only the last level's blocks may be of any size
+        met = _met(few, least) if level == levels else _met_few(few, least)
         if level < levels:
             place = open_.groupBy("th").agg(F.sum("c").alias("p"))
             crowded = cut(open_.where(F.col("c") > most).join(place, "th"))
